@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,10 +39,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there.
+    """Write ``df`` to the checkpoint folder once and go on from the files.
 
-    Used where a frame is read again by later rounds: the files outlive lost
-    executors, and values that depend on the layout are fixed once written.
+    Used where later rounds read a frame again. The files outlive lost
+    executors, the work before them runs once, later steps read only the columns
+    they need, and values that depend on the layout are fixed once written.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
