@@ -13,6 +13,10 @@ from themewell.operators.agreement import without_noise
 # Fixed value: how many example texts stand for a cluster.
 DEFAULT_EXAMPLES = 8
 
+# Distances that agree to this many places are ties, so sums taken in another
+# order do not change the rank.
+TIE_PLACES = 9
+
 
 def centroids(vectors: DataFrame, assigned: DataFrame) -> DataFrame:
     """``cluster_id, centroid``: the component-wise mean, noise left out.
@@ -33,7 +37,7 @@ def nearest_to_centroid(
 ) -> DataFrame:
     """``cluster_id, rank, id, dist``: the rows nearest to each centroid.
 
-    Ties go to the smaller id. The centroid side is broadcast only when its
+    Ties (to nine places) go to the smaller id. The centroid side is broadcast only when its
     measured size allows it (adaptive execution); otherwise it is a sort-merge
     join whose large clusters are split. The rank filter keeps ``n_examples``
     rows per cluster in each task before the shuffle, and only ids and
@@ -43,7 +47,7 @@ def nearest_to_centroid(
     near = members.join(centroids(vectors, assigned), "cluster_id").select(
         "cluster_id", "id", l2_distance(F.col("embedding"), F.col("centroid")).alias("dist")
     )
-    order = Window.partitionBy("cluster_id").orderBy("dist", "id")
+    order = Window.partitionBy("cluster_id").orderBy(F.round("dist", TIE_PLACES), "id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n_examples)
 
 
