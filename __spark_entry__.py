@@ -48,6 +48,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumnsRenamed({"lang": "category", "source": "intent"})
 
 
+def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written once for the queries that read it several times."""
+    return cut(_docs(spark, sf_dir))
+
+
 def _doc_vectors(docs: DataFrame) -> DataFrame:
     """Hashed vectors, written once for the operators that read them many times."""
     return cut(embed.embed_hash(docs))
@@ -143,24 +148,24 @@ def cluster_sizes(spark, sf_dir):
 
 
 def contingency(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     return agreement.contingency(_by_language(docs), docs, "intent")
 
 
 def external_ari(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     scores = agreement.external_validation(_by_language(docs), docs, "intent")
     return scores.select(_r6("ari"), "n_evaluated", "n_total")
 
 
 def external_nmi(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     scores = agreement.external_validation(_by_length(docs), docs, "category")
     return scores.select(_r6("nmi"), "n_evaluated", "n_total")
 
 
 def method_comparison(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     stacked = _by_language(docs).unionByName(_by_length(docs))
     metrics = agreement.external_metrics(stacked, docs, ["category", "intent"])
     table = report.method_comparison(metrics, "by_language", "by_length")
@@ -240,7 +245,7 @@ def hdbscan_labels(spark, sf_dir):
 
 
 def hdbscan_sweep(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     return sweep.sweep(_doc_vectors(docs), docs, "category").results.drop("elapsed_s")
 
 
@@ -252,12 +257,12 @@ def project_2d(spark, sf_dir):
 
 
 def keyword_labels(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     return labels.keyword_terms(_by_language(docs), docs)
 
 
 def label_requests(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     assigned = _by_language(docs)
     nearest = represent.nearest_to_centroid(_doc_vectors(docs), assigned)
     requests = labels.label_requests(assigned, represent.examples(nearest, docs))
@@ -265,7 +270,7 @@ def label_requests(spark, sf_dir):
 
 
 def cluster_catalogue(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     assigned = _by_language(docs)
     nearest = represent.nearest_to_centroid(_doc_vectors(docs), assigned)
     names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
@@ -275,7 +280,7 @@ def cluster_catalogue(spark, sf_dir):
 
 
 def _map(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     assigned = _by_language(docs)
     names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
     coords = docs.select("id", F.col("n_chars").cast("double").alias("x"), F.col("id").cast("double").alias("y"))
@@ -304,7 +309,7 @@ def kpi_report(spark, sf_dir):
 
 def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, embed, cluster with K-Means, and describe each cluster."""
-    docs = _docs(spark, sf_dir)
+    docs = _stage(spark, sf_dir)
     vectors = _doc_vectors(docs)
     assigned = kmeans.run_kmeans(vectors, k=4).assigned
     nearest = represent.nearest_to_centroid(vectors, assigned)

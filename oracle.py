@@ -172,6 +172,111 @@ knn AS (
 core AS (SELECT vec_id, max(dist) AS core FROM knn GROUP BY ALL)"""
 
 
+# Grows the spanning tree of ``reach`` (x, y, w), ties by (w, least id, greatest id).
+_PRIM = """
+grown AS (
+  SELECT y, x AS link, w, false AS taken, 0 AS step
+  FROM reach WHERE x = (SELECT min(x) FROM reach)
+  UNION ALL
+  (WITH open AS (SELECT * FROM grown WHERE NOT taken),
+   pick AS (SELECT * FROM open ORDER BY w, least(y, link), greatest(y, link) LIMIT 1)
+   SELECT y, link, w, true AS taken, step + 1 FROM pick
+   UNION ALL
+   SELECT open.y,
+          CASE WHEN (reach.w, least(reach.x, reach.y), greatest(reach.x, reach.y))
+                    < (open.w, least(open.y, open.link), greatest(open.y, open.link))
+               THEN reach.x ELSE open.link END,
+          least(reach.w, open.w), false, open.step + 1
+   FROM open, pick, reach
+   WHERE open.y <> pick.y AND reach.x = pick.y AND reach.y = open.y)
+),
+mst AS (SELECT least(y, link) AS a, greatest(y, link) AS b, w FROM grown WHERE taken)"""
+
+
+def _density(points: str, min_cluster_size: int, min_samples: int) -> str:
+    """``density_labels`` (id, cluster_id) from ``points`` (id, e).
+
+    The tree's edges are merged one at a time; each step keeps every point's
+    component, the cluster of that component, and where the point left.
+    """
+    return f"""
+gaps AS (SELECT a.id AS x, b.id AS y, list_distance(a.e, b.e) AS d FROM {points} a JOIN {points} b ON a.id <> b.id),
+cored AS (
+  SELECT x AS id, max(d) AS core
+  FROM (SELECT *, row_number() OVER (PARTITION BY x ORDER BY d, y) AS nth FROM gaps)
+  WHERE nth <= {min_samples} GROUP BY x
+),
+reach AS (
+  SELECT x, y, greatest(d, mine.core, theirs.core) AS w
+  FROM gaps JOIN cored mine ON mine.id = x JOIN cored theirs ON theirs.id = y
+), {_PRIM},
+edges AS (SELECT a, b, w, row_number() OVER (ORDER BY w, a, b) AS k FROM mst),
+replay AS (
+  SELECT 0::BIGINT AS step, id AS v, id AS comp, NULL::BIGINT AS cl, NULL::BIGINT AS exit_cl, NULL::DOUBLE AS exit_w
+  FROM {points}
+  UNION ALL
+  (WITH cur AS (SELECT * FROM replay),
+   ends AS (
+     SELECT k, w, ra.comp AS ca, rb.comp AS cb, ra.cl AS cla, rb.cl AS clb
+     FROM edges JOIN cur ra ON ra.v = a JOIN cur rb ON rb.v = b WHERE k = ra.step + 1
+   ),
+   pick AS (
+     SELECT k, w, ca, cb,
+            CASE WHEN cla IS NOT NULL AND clb IS NOT NULL THEN k
+                 WHEN cla IS NOT NULL THEN cla
+                 WHEN clb IS NOT NULL THEN clb
+                 WHEN (SELECT count(*) FROM cur, ends e WHERE comp IN (e.ca, e.cb)) >= {min_cluster_size} THEN k
+            END AS now
+     FROM ends
+   )
+   SELECT k, v,
+          CASE WHEN comp IN (ca, cb) THEN least(ca, cb) ELSE comp END,
+          CASE WHEN comp IN (ca, cb) THEN now ELSE cl END,
+          CASE WHEN comp IN (ca, cb) AND cl IS NULL THEN now ELSE exit_cl END,
+          CASE WHEN comp IN (ca, cb) AND cl IS NULL AND now IS NOT NULL THEN w ELSE exit_w END
+   FROM cur, pick)
+),
+last AS (SELECT * FROM replay WHERE step = (SELECT max(k) FROM edges)),
+lives AS (SELECT cl AS c, step, count(*) AS size FROM replay WHERE cl IS NOT NULL GROUP BY ALL),
+ended AS (
+  SELECT c, size, edges.k AS parent, 1 / greatest(edges.w, 1e-12) AS birth
+  FROM (SELECT c, max(step) AS step, arg_max(size, step) AS size FROM lives GROUP BY c)
+  LEFT JOIN edges ON edges.k = step + 1
+),
+sums AS (
+  SELECT c, sum(n) AS n, sum(s) AS s FROM (
+    SELECT exit_cl AS c, 1 AS n, 1 / greatest(exit_w, 1e-12) AS s FROM last
+    UNION ALL SELECT parent, size, size * birth FROM ended WHERE parent IS NOT NULL
+  ) GROUP BY c
+),
+tree AS (
+  SELECT c, parent, s - n * coalesce(birth, 0) AS own, row_number() OVER (ORDER BY c) AS nth
+  FROM ended JOIN sums USING (c)
+),
+weighed AS (
+  SELECT 0::BIGINT AS i, c, parent, own, nth, 0::DOUBLE AS below FROM tree
+  UNION ALL
+  (WITH cur AS (SELECT * FROM weighed),
+   pick AS (SELECT parent AS up, greatest(own, below) AS best FROM cur WHERE nth = i + 1)
+   SELECT i + 1, c, parent, own, nth, below + CASE WHEN c = up THEN best ELSE 0 END FROM cur, pick)
+),
+kept AS (SELECT c FROM weighed WHERE i = (SELECT count(*) FROM tree) AND own >= below AND parent IS NOT NULL),
+above AS (
+  SELECT c, c AS up FROM tree
+  UNION ALL
+  SELECT above.c, tree.parent FROM above JOIN tree ON tree.c = above.up WHERE tree.parent IS NOT NULL
+),
+chosen AS (SELECT above.c, max(up) AS sel FROM above JOIN kept ON kept.c = up GROUP BY above.c),
+placed AS (SELECT v, sel FROM last LEFT JOIN chosen ON chosen.c = exit_cl),
+numbers AS (
+  SELECT sel, row_number() OVER (ORDER BY least_id) - 1 AS number
+  FROM (SELECT sel, min(v) AS least_id FROM placed WHERE sel IS NOT NULL GROUP BY sel)
+),
+density_labels AS (
+  SELECT v AS id, CAST(coalesce(number, -1) AS INTEGER) AS cluster_id FROM placed LEFT JOIN numbers USING (sel)
+)"""
+
+
 def _agreement(cells: str, by: str = "") -> str:
     """``scores`` with ari, nmi, n_evaluated from ``cells`` (a, b, n)."""
     lead = f"{by}, " if by else ""
@@ -304,24 +409,16 @@ def statements() -> dict[str, str]:
             reach AS (
               SELECT pairs.vec_id AS x, other AS y, greatest(dist, mine.core, theirs.core) AS w
               FROM pairs JOIN core mine ON mine.vec_id = pairs.vec_id JOIN core theirs ON theirs.vec_id = other
-            ),
-            grown AS (
-              SELECT y, x AS link, w, false AS taken, 0 AS step
-              FROM reach WHERE x = (SELECT min(vec_id) FROM v)
-              UNION ALL
-              (WITH open AS (SELECT * FROM grown WHERE NOT taken),
-               pick AS (SELECT * FROM open ORDER BY w, least(y, link), greatest(y, link) LIMIT 1)
-               SELECT y, link, w, true AS taken, step + 1 FROM pick
-               UNION ALL
-               SELECT open.y,
-                      CASE WHEN (reach.w, least(reach.x, reach.y), greatest(reach.x, reach.y))
-                                < (open.w, least(open.y, open.link), greatest(open.y, open.link))
-                           THEN reach.x ELSE open.link END,
-                      least(reach.w, open.w), false, open.step + 1
-               FROM open, pick, reach
-               WHERE open.y <> pick.y AND reach.x = pick.y AND reach.y = open.y)
-            )
-            SELECT least(y, link) AS a, greatest(y, link) AS b, round(w, 6) AS w FROM grown WHERE taken""",
+            ), {_PRIM}
+            SELECT a, b, round(w, 6) AS w FROM mst""",
+        "hdbscan_labels": f"""WITH RECURSIVE {_DOCS}, {_HASHED},
+            dense AS (
+              SELECT doc_id AS id, list(coalesce(value, 0) ORDER BY bucket) AS e
+              FROM (SELECT doc_id, bucket, value FROM docs CROSS JOIN (SELECT unnest(range(0, 384)) AS bucket)
+                    LEFT JOIN hashed USING (doc_id, bucket))
+              GROUP BY doc_id
+            ), {_density("dense", 100, 30)}
+            SELECT id, 'hdbscan' AS method, cluster_id FROM density_labels""",
         "keyword_labels": f"""WITH {_BY_LANGUAGE}, {_TERMS}
             SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, score FROM terms""",
         "label_requests": f"""WITH {_BY_LANGUAGE}, {_HASHED}, {_NEAR_DOCS}

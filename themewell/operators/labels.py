@@ -119,7 +119,9 @@ def keyword_terms(assigned: DataFrame, texts: DataFrame, n_terms: int = DEFAULT_
     """
     members = without_noise(assigned).select("id", "cluster_id").join(texts.select("id", "text"), "id")
     tf = (
-        members.select("cluster_id", F.explode(tx.words(F.col("text"))).alias("term"))
+        # The outer form splits each text once; the plain one adds a filter that splits it again.
+        members.select("cluster_id", F.explode_outer(tx.words(F.col("text"))).alias("term"))
+        .where(F.col("term").isNotNull())
         .groupBy("cluster_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
