@@ -221,7 +221,7 @@ def mutual_reachability(spark, sf_dir):
 
 def hdbscan_mst(spark, sf_dir):
     hood = neighbors.neighborhood(_vectors(spark, sf_dir), NEIGHBORS)
-    tree = reach_tree.reachability_tree(hood, neighbors.core_distances(hood, NEIGHBORS))
+    tree = reach_tree.reachability_tree(hood, cut(neighbors.core_distances(hood, NEIGHBORS)))
     first = hood.points.select("vid", "first_id")
     name = lambda end: first.select(F.col("vid").alias(end), F.col("first_id").alias(f"{end}_id"))
     named = tree.join(name("a"), "a").join(name("b"), "b")
@@ -246,7 +246,11 @@ def hdbscan_labels(spark, sf_dir):
 
 def hdbscan_sweep(spark, sf_dir):
     docs = _stage(spark, sf_dir)
-    return sweep.sweep(_doc_vectors(docs), docs, "category").results.drop("elapsed_s")
+    results = sweep.sweep(_doc_vectors(docs), docs, "category").results.drop("elapsed_s")
+    # An unset min_samples is shown as an empty cell, as in the CSV of the sweep.
+    shown = F.coalesce(F.col("min_samples").cast("string"), F.lit(""))
+    scores = {c: F.round(c, 6) for c in ("noise_fraction", "silhouette", "ari", "nmi")}
+    return results.withColumns({**scores, "min_samples": shown})
 
 
 def project_2d(spark, sf_dir):

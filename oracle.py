@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from themewell.functions.text import WHITESPACE
 from themewell.operators.labels import PROMPT_HEAD, PROMPT_TAIL
+from themewell.operators.sweep import DEFAULT_SETTINGS, Setting
 
 _WS = "concat(" + ", ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
 _BREAK = r"'[^\p{L}\p{N}]+'"
@@ -316,6 +317,47 @@ score AS (
 )"""
 
 
+_DENSE = """
+dense AS (
+  SELECT doc_id AS id, list(coalesce(value, 0) ORDER BY bucket) AS e
+  FROM (SELECT doc_id, bucket, value FROM docs CROSS JOIN (SELECT unnest(range(0, 384)) AS bucket)
+        LEFT JOIN hashed USING (doc_id, bucket))
+  GROUP BY doc_id
+)"""
+
+
+def _setting(setting: Setting) -> str:
+    """One row of the settings sweep over hashed documents, scored against their language."""
+    size, samples = setting.min_cluster_size, setting.min_samples
+    shown = "" if samples is None else samples
+    return f"""(WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_density("dense", size, samples or size)},
+    counts AS (
+      SELECT count(DISTINCT cluster_id) FILTER (WHERE cluster_id <> -1) AS n_clusters,
+             count(*) FILTER (WHERE cluster_id = -1) AS n_noise, count(*) AS n
+      FROM density_labels
+    ),
+    cells AS (SELECT cluster_id AS a, lang AS b, count(*) AS n FROM density_labels JOIN docs ON doc_id = id
+              WHERE cluster_id <> -1 GROUP BY ALL), {_agreement("cells")},
+    inner_rows AS (SELECT id, cluster_id, e FROM density_labels JOIN dense USING (id) WHERE cluster_id <> -1),
+    away AS (
+      SELECT a.id, a.cluster_id AS own, b.cluster_id AS theirs, sum(list_distance(a.e, b.e)) AS d, count(*) AS n
+      FROM inner_rows a JOIN inner_rows b ON a.id <> b.id GROUP BY ALL
+    ),
+    near AS (SELECT id, min(d / n) AS b FROM away WHERE own <> theirs GROUP BY ALL),
+    home AS (SELECT id, d / n AS a FROM away WHERE own = theirs),
+    width AS (
+      SELECT avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette
+      FROM near LEFT JOIN home USING (id)
+    )
+    SELECT {_quoted(setting.name)} AS name, {size} AS min_cluster_size, '{shown}' AS min_samples, n_clusters, n_noise,
+           round(n_noise / n, 6) AS noise_fraction,
+           round(coalesce((SELECT silhouette FROM width), 'NaN'::DOUBLE), 6) AS silhouette,
+           n - n_noise AS n_scored,
+           round(coalesce((SELECT ari FROM scores), 'NaN'::DOUBLE), 6) AS ari,
+           round(coalesce((SELECT nmi FROM scores), 'NaN'::DOUBLE), 6) AS nmi
+    FROM counts)"""
+
+
 def statements() -> dict[str, str]:
     out = {
         "clean_text": f"WITH {_CLEAN} SELECT doc_id, text FROM clean",
@@ -411,14 +453,9 @@ def statements() -> dict[str, str]:
               FROM pairs JOIN core mine ON mine.vec_id = pairs.vec_id JOIN core theirs ON theirs.vec_id = other
             ), {_PRIM}
             SELECT a, b, round(w, 6) AS w FROM mst""",
-        "hdbscan_labels": f"""WITH RECURSIVE {_DOCS}, {_HASHED},
-            dense AS (
-              SELECT doc_id AS id, list(coalesce(value, 0) ORDER BY bucket) AS e
-              FROM (SELECT doc_id, bucket, value FROM docs CROSS JOIN (SELECT unnest(range(0, 384)) AS bucket)
-                    LEFT JOIN hashed USING (doc_id, bucket))
-              GROUP BY doc_id
-            ), {_density("dense", 100, 30)}
+        "hdbscan_labels": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_density("dense", 100, 30)}
             SELECT id, 'hdbscan' AS method, cluster_id FROM density_labels""",
+        "hdbscan_sweep": " UNION ALL ".join(_setting(s) for s in DEFAULT_SETTINGS),
         "keyword_labels": f"""WITH {_BY_LANGUAGE}, {_TERMS}
             SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, score FROM terms""",
         "label_requests": f"""WITH {_BY_LANGUAGE}, {_HASHED}, {_NEAR_DOCS}

@@ -24,7 +24,7 @@ def cluster_counts(assigned: DataFrame) -> DataFrame:
         F.countDistinct(F.when(cluster != NOISE, cluster)).alias("n_clusters"),
         F.count_if(cluster == NOISE).alias("n_noise"),
         F.count(F.lit(1)).alias("n_total"),
-    ).withColumn("noise_fraction", F.col("n_noise") / F.col("n_total"))
+    ).withColumn("noise_fraction", F.try_divide("n_noise", "n_total"))
 
 
 def cluster_sizes(assigned: DataFrame) -> DataFrame:
