@@ -17,7 +17,9 @@ def plane(spark, vectors_of, assigned_of):
     return x, vectors_of(x), assigned_of(clusters), texts
 
 
-def test_nearest_to_the_centroid(plane):
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_nearest_to_the_centroid(plane, monkeypatch, limit):
+    monkeypatch.setattr(represent, "BROADCAST_BYTES", limit)
     x, vectors, assigned, _ = plane
     rows = represent.nearest_to_centroid(vectors, assigned, 3).orderBy("cluster_id", "rank").collect()
     assert {r.cluster_id for r in rows} == {0, 1}
