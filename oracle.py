@@ -279,7 +279,7 @@ density_labels AS (
 
 
 def _agreement(cells: str, by: str = "") -> str:
-    """``scores`` with ari, nmi, n_evaluated from ``cells`` (a, b, n)."""
+    """``scores`` with ari, nmi, n_evaluated from ``cells`` (a, b, n); no rows give NaN, by definition."""
     lead = f"{by}, " if by else ""
     group = f"GROUP BY {by}" if by else ""
     join = f"USING ({by})" if by else "ON true"
@@ -292,9 +292,9 @@ sa AS (SELECT {lead}sum(n * (n - 1) / 2.0) AS pa, sum(n * ln(n)) AS la, count(*)
 sb AS (SELECT {lead}sum(n * (n - 1) / 2.0) AS pb, sum(n * ln(n)) AS lb, count(*) AS cb FROM mb {group}),
 scores AS (
   SELECT {lead}CAST(n AS BIGINT) AS n_evaluated,
-    CASE WHEN c = ca AND c = cb THEN 1.0
+    CASE WHEN c = 0 THEN 'NaN'::DOUBLE WHEN c = ca AND c = cb THEN 1.0
          ELSE (p - pa * pb / (n * (n - 1) / 2)) / ((pa + pb) / 2 - pa * pb / (n * (n - 1) / 2)) END AS ari,
-    CASE WHEN c = ca AND c = cb THEN 1.0
+    CASE WHEN c = 0 THEN 'NaN'::DOUBLE WHEN c = ca AND c = cb THEN 1.0
          ELSE greatest(ln(n) + (l - la - lb) / n, 0) / ((2 * ln(n) - (la + lb) / n) / 2) END AS nmi
   FROM sab JOIN sa {join} JOIN sb {join}
 )"""
