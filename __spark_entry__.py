@@ -31,6 +31,13 @@ from themewell.operators import (  # noqa: E402
 from themewell.session import cut  # noqa: E402
 from themewell.sources.tables import read_table  # noqa: E402
 
+try:
+    from themewell.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage and its pipeline can be left out
+    if missing.name not in ("themewell.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 NEIGHBORS = 5
 
 
@@ -327,7 +334,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         "clean_text": clean_text,
         "dedupe_first": dedupe_first,
         "label_conflicts": label_conflicts,
@@ -364,7 +371,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_report": kpi_report,
         "discover": discover,
     }
+    return own | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (llm.oracle_sql() if llm else {})
