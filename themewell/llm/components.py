@@ -8,6 +8,7 @@ dropped. Tables between rounds are written to the shared folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,16 @@ def _roots(hook: DataFrame) -> DataFrame:
         if doubled.where("moved").isEmpty():
             return doubled.select("from", F.col("to").alias("root"))
         step = doubled.drop("moved")
+
+
+def merge(groups: np.ndarray, i: int, near: np.ndarray) -> np.ndarray:
+    """Joins the groups of ``near`` to that of ``i`` and gives one of ``near`` for each group joined.
+
+    ``groups`` holds a number per member and is changed. Calls for all members
+    give a spanning forest, with one step per member and not per link.
+    """
+    found, first = np.unique(groups[near], return_index=True)
+    new = found != groups[i]
+    if new.any():
+        groups[np.isin(groups, found[new])] = groups[i]
+    return near[first[new]]

@@ -50,7 +50,7 @@ class ContentTable:
         self.hashes.append(code)
         self.contents.append(content)
         self.bytes += len(content)
-        if 2 * i > len(self.slots):
+        if 2 * len(self.contents) > len(self.slots):
             self._grow()
         return i, True
 

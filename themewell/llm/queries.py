@@ -7,13 +7,63 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themewell.llm import grace, shards, simhash
+import corpus_pipeline
+from themewell.llm import (
+    grace,
+    language,
+    metric_join,
+    mixing,
+    packing,
+    pseudonyms,
+    secret_scan,
+    shards,
+    simhash,
+    token_files,
+    tokens,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Pseudonyms of the registered query are linked by this key; users bring their own.
+_QUERY_KEY = b"key of the registered query only"
+
+
+def op1_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_documents(spark, sf_dir))
+
+
+def op2_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least_cosine=0.93)
+
+
+def op3_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = mixing.plan(_documents(spark, sf_dir))
+    return documents
+
+
+def op4_ranked_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.scratch(spark)
+    token_files.write(_documents(spark, sf_dir), path, tokens.byte_vocabulary())
+    return token_files.digests(spark, path)
+
+
+def op5_subword_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    may_learn = language.may_learn(F.col("doc_id"))
+    model = language.fit(docs, may_learn)
+    found = language.identify(docs, model)
+    held_out = ~language.may_learn(F.col("doc_id"))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_documents(spark, sf_dir), tokens.word_vocabulary())
+    return packing.with_checksums(pieces)
+
+
 def op7_byte_prefix_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(_documents(spark, sf_dir), shards=24)
 
@@ -22,6 +72,10 @@ def op8_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.deduplicate(_documents(spark, sf_dir))
 
 
+def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(_documents(spark, sf_dir), _QUERY_KEY)
+
+
 def op10_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_documents(spark, sf_dir), width=3, radius=3, segments=2, ball=1)
     return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
@@ -29,9 +83,17 @@ def op10_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_randomness_battery": op1_randomness_battery,
+        "op2_metric_range_join": op2_metric_range_join,
+        "op3_splitting_tree_mix": op3_splitting_tree_mix,
+        "op4_ranked_token_files": op4_ranked_token_files,
+        "op5_subword_language_id": op5_subword_language_id,
+        "op6_tiered_packing": op6_tiered_packing,
         "op7_byte_prefix_shards": op7_byte_prefix_shards,
         "op8_grace_dedup": op8_grace_dedup,
+        "op9_feistel_pseudonyms": op9_feistel_pseudonyms,
         "op10_simhash_multi_index": op10_simhash_multi_index,
+        "pipeline": corpus_pipeline.run,
     }
 
 

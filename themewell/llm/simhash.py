@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from themewell.llm.arrow import batch_of, map_batches, texts_of
-from themewell.llm.components import components
+from themewell.llm.components import components, merge
 from themewell.session import cut
 
 SEED = 42
@@ -178,31 +178,19 @@ def _tiled(entries: DataFrame, stored: DataFrame, size: int, ball: int, members:
 
 def _links_of(fps: np.ndarray, ids: np.ndarray, asks: np.ndarray, part: np.ndarray, radius: int) -> tuple[list, list]:
     """A spanning forest of the links of one tile; pairs of two that ask are not compared."""
-    n = len(ids)
-    stored = np.flatnonzero(asks == 0)
-    parent = np.arange(n)
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+    n, groups = len(ids), np.arange(len(ids))
     a, b = [], []
     cross = part.min() != part.max()
-    for s in stored:
-        far = np.bitwise_count(fps ^ fps[s]).sum(axis=1, dtype=np.int64)
-        near = far <= radius
+    for s in np.flatnonzero(asks == 0):
+        near = np.bitwise_count(fps ^ fps[s]).sum(axis=1, dtype=np.int64) <= radius
         near &= (asks == 1) | (np.arange(n) > s)
         if cross:  # parts meet themselves in a tile of their own
             near &= part != part[s]
-        for t in np.flatnonzero(near):
-            x, y = find(int(s)), find(int(t))
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                if ids[s] != ids[t]:
-                    a.append(int(ids[s]))
-                    b.append(int(ids[t]))
+        near &= ids != ids[s]
+        if near.any():
+            found = merge(groups, s, np.flatnonzero(near))
+            a += [int(ids[s])] * len(found)
+            b += ids[found].tolist()
     return a, b
 
 
