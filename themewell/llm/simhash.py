@@ -162,7 +162,8 @@ def _tiled(entries: DataFrame, stored: DataFrame, size: int, ball: int, members:
     counts = stored.groupBy("seg", "key").agg(F.count("*").alias("n")).where(F.col("n") > members)
     wide = counts.select("seg", "n", F.explode(key_ball(F.col("key"), size, ball)).alias("x"))
     wide = wide.groupBy("seg", F.col("x.key").alias("key")).agg(F.sum("n").alias("n"))
-    wide = wide.select("seg", "key", F.ceil(F.col("n") / F.lit(members)).cast("int").alias("parts"))
+    # Written first: most often it has few rows or none, and then the entries need not move for the join.
+    wide = cut(wide.select("seg", "key", F.ceil(F.col("n") / F.lit(members)).cast("int").alias("parts")))
     parts = F.coalesce("parts", F.lit(1))
     rows = entries.join(wide, ["seg", "key"], "left").withColumn("parts", parts)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
