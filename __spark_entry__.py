@@ -6,7 +6,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -56,10 +56,15 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, written once for the queries that read it several times."""
+    """The same, written once for the queries that read texts several times."""
     return cut(_docs(spark, sf_dir))
 
 
+def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is known of the clean texts, without the texts, written once."""
+    return cut(_docs(spark, sf_dir).select("id", "category", "intent", "n_chars"))
+
+
 def _doc_vectors(docs: DataFrame) -> DataFrame:
     """Hashed vectors, written once for the operators that read them many times."""
     return cut(embed.embed_hash(docs))
@@ -67,8 +72,7 @@ def _doc_vectors(docs: DataFrame) -> DataFrame:
 
 def _by_language(docs: DataFrame) -> DataFrame:
     """A fixed assignment for exact checks: one cluster per language, short texts are noise."""
-    names = docs.select("category").distinct()
-    numbered = names.withColumn("number", F.row_number().over(Window.orderBy("category")) - 1)
+    numbered = ids.with_dense_rank(docs.select("category").distinct(), ["category"], "number")
     cluster = F.when(F.col("n_chars") < 300, agreement.NOISE).otherwise(F.col("number"))
     return docs.join(numbered, "category").select(
         "id", F.lit("by_language").alias("method"), cluster.cast("int").alias("cluster_id")
@@ -155,24 +159,32 @@ def cluster_sizes(spark, sf_dir):
 
 
 def contingency(spark, sf_dir):
-    docs = _stage(spark, sf_dir)
+    docs = _facts(spark, sf_dir)
     return agreement.contingency(_by_language(docs), docs, "intent")
 
 
 def external_ari(spark, sf_dir):
-    docs = _stage(spark, sf_dir)
+    docs = _facts(spark, sf_dir)
     scores = agreement.external_validation(_by_language(docs), docs, "intent")
     return scores.select(_r6("ari"), "n_evaluated", "n_total")
 
 
 def external_nmi(spark, sf_dir):
-    docs = _stage(spark, sf_dir)
+    docs = _facts(spark, sf_dir)
     scores = agreement.external_validation(_by_length(docs), docs, "category")
     return scores.select(_r6("nmi"), "n_evaluated", "n_total")
 
 
+def external_partial(spark, sf_dir):
+    """Agreement with quality labels that only some of the texts have."""
+    docs = _facts(spark, sf_dir)
+    partial = read_table(spark, f"{sf_dir}/labels.parquet", ["doc_id", "quality"]).withColumnRenamed("doc_id", "id")
+    scores = agreement.external_validation(_by_language(docs), partial, "quality")
+    return scores.select(_r6("ari"), _r6("nmi"), "n_evaluated", "n_total")
+
+
 def method_comparison(spark, sf_dir):
-    docs = _stage(spark, sf_dir)
+    docs = _facts(spark, sf_dir)
     stacked = _by_language(docs).unionByName(_by_length(docs))
     metrics = agreement.external_metrics(stacked, docs, ["category", "intent"])
     table = report.method_comparison(metrics, "by_language", "by_length")
@@ -198,7 +210,13 @@ def representatives(spark, sf_dir):
 
 def silhouette_sampled(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    return silhouette.silhouette(vectors, _by_label(vectors)).select(_r6("silhouette"), "n_scored")
+    scores = silhouette.silhouette(vectors, _by_label(vectors), sample_size=200)
+    return scores.select(_r6("silhouette"), "n_scored")
+
+
+def silhouette_linear(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    return silhouette.silhouette_linear(vectors, _by_label(vectors)).select(_r6("silhouette"), "n_scored")
 
 
 def silhouette_exact(spark, sf_dir):
@@ -244,7 +262,7 @@ def kmeans_assign(spark, sf_dir):
 
 def k_search(spark, sf_dir):
     scores, _, _ = kmeans.search_k(_doc_vectors(_docs(spark, sf_dir)))
-    return scores
+    return scores.select("k", _r6("silhouette"), "n_scored")
 
 
 def hdbscan_labels(spark, sf_dir):
@@ -290,28 +308,27 @@ def cluster_catalogue(spark, sf_dir):
     return table.select("cluster_id", "label", "description", "size", _r6("share"), joined)
 
 
-def _map(spark, sf_dir):
-    docs = _stage(spark, sf_dir)
-    assigned = _by_language(docs)
-    names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
-    coords = docs.select("id", F.col("n_chars").cast("double").alias("x"), F.col("id").cast("double").alias("y"))
-    return report.cluster_map(coords, assigned, docs, names)
+def _coords(docs: DataFrame) -> DataFrame:
+    return docs.select("id", F.col("n_chars").cast("double").alias("x"), F.col("id").cast("double").alias("y"))
 
 
 def cluster_map(spark, sf_dir):
-    return _map(spark, sf_dir).withColumnRenamed("id", "doc_id")
+    docs = _stage(spark, sf_dir)
+    assigned = _by_language(docs)
+    names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
+    return report.cluster_map(_coords(docs), assigned, docs, names).withColumnRenamed("id", "doc_id")
 
 
 def cluster_map_bins(spark, sf_dir):
-    return report.map_bins(_map(spark, sf_dir), 250.0)
+    docs = _facts(spark, sf_dir)
+    return report.map_bins(_coords(docs).join(_by_language(docs), "id"), 250.0)
 
 
 def kpi_report(spark, sf_dir):
-    vectors = _vectors(spark, sf_dir)
-    assigned = _by_label(vectors)
-    heldout = _raw(spark, sf_dir).select("id", F.col("lang").alias("category"))
-    external = agreement.external_validation(assigned, heldout, "category")
-    facts = report.kpi_report(assigned, silhouette.silhouette(vectors, assigned), external)
+    docs = _stage(spark, sf_dir)
+    assigned, vectors = cut(_by_language(docs)), _doc_vectors(docs)
+    external = agreement.external_validation(assigned, docs, "intent")
+    facts = report.kpi_report(assigned, silhouette.silhouette_linear(vectors, assigned), external)
     return facts.select("metric", _r6("value"), "band")
 
 
@@ -322,10 +339,12 @@ def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean, embed, cluster with K-Means, and describe each cluster."""
     docs = _stage(spark, sf_dir)
     vectors = _doc_vectors(docs)
-    assigned = kmeans.run_kmeans(vectors, k=4).assigned
+    assigned = cut(kmeans.run_kmeans(vectors, k=4).assigned)
     nearest = represent.nearest_to_centroid(vectors, assigned)
     names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
-    return report.cluster_catalogue(assigned, names, represent.examples(nearest, docs))
+    table = report.cluster_catalogue(assigned, names, represent.examples(nearest, docs))
+    joined = F.array_join("examples", " || ").alias("examples")
+    return table.select("cluster_id", "label", "description", "size", _r6("share"), joined)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -349,11 +368,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contingency": contingency,
         "external_ari": external_ari,
         "external_nmi": external_nmi,
+        "external_partial": external_partial,
         "method_comparison": method_comparison,
         "centroids": centroids,
         "representatives": representatives,
         "silhouette_sampled": silhouette_sampled,
         "silhouette_exact": silhouette_exact,
+        "silhouette_linear": silhouette_linear,
         "pairwise_knn": pairwise_knn,
         "core_distance": core_distance,
         "mutual_reachability": mutual_reachability,

@@ -6,11 +6,26 @@ rows, hashed words are counted row by row, the spanning tree grows by Prim.
 
 from __future__ import annotations
 
-from themewell.functions.text import WHITESPACE
-from themewell.operators.labels import PROMPT_HEAD, PROMPT_TAIL
-from themewell.operators.sweep import DEFAULT_SETTINGS, Setting
-
-_WS = "concat(" + ", ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
+# The code points that count as white space.
+_SPACES = [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+_WS = "concat(" + ", ".join(f"chr({c})" for c in _SPACES) + ")"
+
+# Name, min_cluster_size and min_samples of the settings that are compared.
+_SETTINGS = (
+    ("baseline (min_cluster_size=30)", 30, None),
+    ("coarser A (min_cluster_size=50, min_samples=15)", 50, 15),
+    ("coarser B (min_cluster_size=75, min_samples=20)", 75, 20),
+    ("coarser C (min_cluster_size=100, min_samples=30)", 100, 30),
+)
+
+_PROMPT_HEAD = (
+    "The messages below were written to a support desk. They were put in one group because "
+    "they mean nearly the same. Messages from the group:\n\n"
+)
+_PROMPT_TAIL = (
+    '\n\nAnswer with one JSON object and nothing else. Its key "label" holds a category name '
+    'of 3 to 6 words, its key "description" holds one sentence on what the messages ask for.'
+)
 _BREAK = r"'[^\p{L}\p{N}]+'"
 
 
@@ -286,26 +301,31 @@ def _agreement(cells: str, by: str = "") -> str:
     return f"""
 ma AS (SELECT {lead}a, CAST(sum(n) AS DOUBLE) AS n FROM {cells} GROUP BY ALL),
 mb AS (SELECT {lead}b, CAST(sum(n) AS DOUBLE) AS n FROM {cells} GROUP BY ALL),
-sab AS (SELECT {lead}sum(n) AS n, sum(n * (n - 1) / 2.0) AS p, sum(n * ln(n)) AS l, count(*) AS c
+sab AS (SELECT {lead}sum(n) AS n, sum(n * (n - 1) / 2.0) AS p, count(*) AS c
         FROM (SELECT * REPLACE (CAST(n AS DOUBLE) AS n) FROM {cells}) {group}),
-sa AS (SELECT {lead}sum(n * (n - 1) / 2.0) AS pa, sum(n * ln(n)) AS la, count(*) AS ca FROM ma {group}),
-sb AS (SELECT {lead}sum(n * (n - 1) / 2.0) AS pb, sum(n * ln(n)) AS lb, count(*) AS cb FROM mb {group}),
+total AS (SELECT {lead}CAST(sum(n) AS DOUBLE) AS t FROM {cells} {group}),
+sa AS (SELECT {lead}sum(n * (n - 1) / 2.0) AS pa, -sum(n / t * ln(n / t)) AS ha, count(*) AS ca FROM ma JOIN total {join} {group}),
+sb AS (SELECT {lead}sum(n * (n - 1) / 2.0) AS pb, -sum(n / t * ln(n / t)) AS hb, count(*) AS cb FROM mb JOIN total {join} {group}),
+shared AS (
+  SELECT {lead}sum(x.n / t * ln((x.n / t) / ((ma.n / t) * (mb.n / t)))) AS mi
+  FROM {cells} x JOIN ma USING ({lead}a) JOIN mb USING ({lead}b) JOIN total {join} {group}
+),
 scores AS (
   SELECT {lead}CAST(n AS BIGINT) AS n_evaluated,
     CASE WHEN c = 0 THEN 'NaN'::DOUBLE WHEN c = ca AND c = cb THEN 1.0
          ELSE (p - pa * pb / (n * (n - 1) / 2)) / ((pa + pb) / 2 - pa * pb / (n * (n - 1) / 2)) END AS ari,
     CASE WHEN c = 0 THEN 'NaN'::DOUBLE WHEN c = ca AND c = cb THEN 1.0
-         ELSE greatest(ln(n) + (l - la - lb) / n, 0) / ((2 * ln(n) - (la + lb) / n) / 2) END AS nmi
-  FROM sab JOIN sa {join} JOIN sb {join}
+         ELSE greatest(mi, 0) / ((ha + hb) / 2) END AS nmi
+  FROM sab JOIN sa {join} JOIN sb {join} JOIN shared {join}
 )"""
 
 
-def _silhouette(sampled: bool) -> str:
-    sample = "ORDER BY md5('42:' || vec_id), vec_id LIMIT 5000" if sampled else ""
-    return f"""{_VECTORS},
-s AS (SELECT * FROM v WHERE cluster_id <> -1 {sample}),
+def _silhouette(rows: str, power: int = 1) -> str:
+    """``score`` of the rows (vec_id, cluster_id, e), pair by pair; power 2 for squared distances."""
+    return f"""
+s AS ({rows}),
 sums AS (
-  SELECT a.vec_id, a.cluster_id AS own, b.cluster_id AS theirs, sum(list_distance(a.e, b.e)) AS d, count(*) AS n
+  SELECT a.vec_id, a.cluster_id AS own, b.cluster_id AS theirs, sum(list_distance(a.e, b.e) ** {power}) AS d, count(*) AS n
   FROM s a JOIN s b ON a.vec_id <> b.vec_id GROUP BY ALL
 ),
 inside AS (SELECT vec_id, d / n AS a FROM sums WHERE own = theirs),
@@ -326,9 +346,8 @@ dense AS (
 )"""
 
 
-def _setting(setting: Setting) -> str:
+def _setting(name: str, size: int, samples: int | None) -> str:
     """One row of the settings sweep over hashed documents, scored against their language."""
-    size, samples = setting.min_cluster_size, setting.min_samples
     shown = "" if samples is None else samples
     return f"""(WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_density("dense", size, samples or size)},
     counts AS (
@@ -340,7 +359,7 @@ def _setting(setting: Setting) -> str:
               WHERE cluster_id <> -1 GROUP BY ALL), {_agreement("cells")},
     inner_rows AS (SELECT id, cluster_id, e FROM density_labels JOIN dense USING (id) WHERE cluster_id <> -1),
     away AS (
-      SELECT a.id, a.cluster_id AS own, b.cluster_id AS theirs, sum(list_distance(a.e, b.e)) AS d, count(*) AS n
+      SELECT a.id, a.cluster_id AS own, b.cluster_id AS theirs, sum(list_distance(a.e, b.e) ** 2) AS d, count(*) AS n
       FROM inner_rows a JOIN inner_rows b ON a.id <> b.id GROUP BY ALL
     ),
     near AS (SELECT id, min(d / n) AS b FROM away WHERE own <> theirs GROUP BY ALL),
@@ -349,7 +368,7 @@ def _setting(setting: Setting) -> str:
       SELECT avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette
       FROM near LEFT JOIN home USING (id)
     )
-    SELECT {_quoted(setting.name)} AS name, {size} AS min_cluster_size, '{shown}' AS min_samples, n_clusters, n_noise,
+    SELECT {_quoted(name)} AS name, {size} AS min_cluster_size, '{shown}' AS min_samples, n_clusters, n_noise,
            round(n_noise / n, 6) AS noise_fraction,
            round(coalesce((SELECT silhouette FROM width), 'NaN'::DOUBLE), 6) AS silhouette,
            n - n_noise AS n_scored,
@@ -358,6 +377,67 @@ def _setting(setting: Setting) -> str:
     FROM counts)"""
 
 
+def _kmeans(ks: list[int], steps: int = 30) -> str:
+    """``centres`` (k, cs) after the steps and ``kmeans_labels`` (k, id, cluster_id) over ``dense``.
+
+    The centres for a smaller k are the first ones for a larger k.
+    """
+    return f"""
+start AS (
+  SELECT id, e, row_number() OVER (ORDER BY md5('42:' || id), id) AS place FROM dense
+  QUALIFY place <= 2000
+),
+pick AS (
+  SELECT 1 AS step, [e] AS cs FROM start WHERE place = 1
+  UNION ALL
+  SELECT step + 1, list_append(any_value(cs), arg_max(e, ln(draw) / gap))
+  FROM (
+    SELECT step, cs, e, list_min(list_transform(cs, lambda c: list_distance(c, start.e) ** 2)) AS gap,
+           (CAST('0x' || substr(md5('42:' || step || ':' || id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496 AS draw
+    FROM pick, start WHERE step < {max(ks)}
+  )
+  WHERE gap > 0 GROUP BY step
+),
+moved AS (
+  SELECT 0 AS step, k, list_slice((SELECT arg_max(cs, step) FROM pick), 1, k) AS cs
+  FROM (SELECT unnest({ks}) AS k) WHERE k < (SELECT count(*) FROM dense) OR {len(ks)} = 1
+  UNION ALL
+  SELECT moved.step + 1, moved.k, list_transform(range(1, len(cs) + 1), lambda i: coalesce(means[i], cs[i]))
+  FROM moved JOIN (
+    SELECT k, map_from_entries(list((own, mean))) AS means
+    FROM (
+      SELECT k, own, list(x ORDER BY dim) AS mean
+      FROM (
+        SELECT k, own, dim, avg(x) AS x
+        FROM (
+          SELECT k, list_position(gaps, list_min(gaps)) AS own, unnest(e) AS x, unnest(range(0, len(e))) AS dim
+          FROM (
+            SELECT k, e, list_transform(cs, lambda c: round(list_distance(c, dense.e) ** 2, 9)) AS gaps FROM moved, dense
+          )
+        )
+        GROUP BY k, own, dim
+      )
+      GROUP BY k, own
+    )
+    GROUP BY k
+  ) USING (k)
+  WHERE moved.step < {steps}
+),
+centres AS (SELECT k, cs FROM moved WHERE step = {steps}),
+kmeans_labels AS (
+  SELECT k, id, CAST(list_position(gaps, list_min(gaps)) - 1 AS INTEGER) AS cluster_id
+  FROM (SELECT k, id, list_transform(cs, lambda c: round(list_distance(c, dense.e) ** 2, 9)) AS gaps FROM centres, dense)
+)"""
+
+
+_CATALOGUE = """
+ex AS (SELECT cluster_id, string_agg(text, ' || ' ORDER BY nth) AS examples
+       FROM nearest JOIN docs USING (doc_id) WHERE nth <= 5 GROUP BY ALL)
+SELECT cluster_id, label, description, size,
+       round(100.0 * size / (SELECT count(*) FROM assigned), 6) AS share, examples
+FROM sizes JOIN names USING (cluster_id) JOIN ex USING (cluster_id)"""
+
+
 def statements() -> dict[str, str]:
     out = {
         "clean_text": f"WITH {_CLEAN} SELECT doc_id, text FROM clean",
@@ -391,6 +471,11 @@ def statements() -> dict[str, str]:
             cells AS (SELECT cluster_id AS a, lang AS b, count(*) AS n FROM assigned
                       WHERE cluster_id <> -1 GROUP BY ALL), {_agreement("cells")}
             SELECT round(nmi, 6) AS nmi, n_evaluated, (SELECT count(*) FROM assigned) AS n_total FROM scores""",
+        "external_partial": f"""WITH {_BY_LANGUAGE},
+            cells AS (SELECT cluster_id AS a, quality AS b, count(*) AS n FROM assigned JOIN labels USING (doc_id)
+                      WHERE cluster_id <> -1 AND quality IS NOT NULL GROUP BY ALL), {_agreement("cells")}
+            SELECT round(ari, 6) AS ari, round(nmi, 6) AS nmi, n_evaluated, (SELECT count(*) FROM assigned) AS n_total
+            FROM scores""",
         "method_comparison": f"""WITH {_DOCS},
             both_ways AS (
               SELECT doc_id, lang, source, n_chars,
@@ -436,9 +521,12 @@ def statements() -> dict[str, str]:
             FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY round(dist, 9), vec_id) AS rank
                   FROM away)
             WHERE rank <= 8""",
-        "silhouette_sampled": f"""WITH {_silhouette(True)}
+        "silhouette_sampled": f"""WITH {_VECTORS}, {_silhouette(
+            "SELECT * FROM v WHERE cluster_id <> -1 ORDER BY md5('42:' || vec_id), vec_id LIMIT 200")}
+            SELECT round(silhouette, 6) AS silhouette, n_scored FROM score""",
+        "silhouette_exact": f"""WITH {_VECTORS}, {_silhouette("SELECT * FROM v WHERE cluster_id <> -1")}
             SELECT round(silhouette, 6) AS silhouette, n_scored FROM score""",
-        "silhouette_exact": f"""WITH {_silhouette(False)}
+        "silhouette_linear": f"""WITH {_VECTORS}, {_silhouette("SELECT * FROM v WHERE cluster_id <> -1", 2)}
             SELECT round(silhouette, 6) AS silhouette, n_scored FROM score""",
         "pairwise_knn": f"""WITH {_KNN}
             SELECT vec_id, CAST(rank AS INTEGER) AS rank, other, round(dist, 6) AS dist FROM knn""",
@@ -455,19 +543,31 @@ def statements() -> dict[str, str]:
             SELECT a, b, round(w, 6) AS w FROM mst""",
         "hdbscan_labels": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_density("dense", 100, 30)}
             SELECT id, 'hdbscan' AS method, cluster_id FROM density_labels""",
-        "hdbscan_sweep": " UNION ALL ".join(_setting(s) for s in DEFAULT_SETTINGS),
+        "hdbscan_sweep": " UNION ALL ".join(_setting(*s) for s in _SETTINGS),
         "keyword_labels": f"""WITH {_BY_LANGUAGE}, {_TERMS}
             SELECT cluster_id, CAST(rank AS INTEGER) AS rank, term, score FROM terms""",
         "label_requests": f"""WITH {_BY_LANGUAGE}, {_HASHED}, {_NEAR_DOCS}
-            SELECT cluster_id, size, {_quoted(PROMPT_HEAD)} || string_agg('- ' || text, chr(10) ORDER BY nth)
-                   || {_quoted(PROMPT_TAIL)} AS prompt
+            SELECT cluster_id, size, {_quoted(_PROMPT_HEAD)} || string_agg('- ' || text, chr(10) ORDER BY nth)
+                   || {_quoted(_PROMPT_TAIL)} AS prompt
             FROM nearest JOIN docs USING (doc_id) JOIN sizes USING (cluster_id) GROUP BY ALL""",
-        "cluster_catalogue": f"""WITH {_BY_LANGUAGE}, {_HASHED}, {_NEAR_DOCS}, {_TERMS},
-            ex AS (SELECT cluster_id, string_agg(text, ' || ' ORDER BY nth) AS examples
-                   FROM nearest JOIN docs USING (doc_id) WHERE nth <= 5 GROUP BY ALL)
-            SELECT cluster_id, label, description, size,
-                   round(100.0 * size / (SELECT count(*) FROM assigned), 6) AS share, examples
-            FROM sizes JOIN names USING (cluster_id) JOIN ex USING (cluster_id)""",
+        "cluster_catalogue": f"WITH {_BY_LANGUAGE}, {_HASHED}, {_NEAR_DOCS}, {_TERMS}, {_CATALOGUE}",
+        "kmeans_assign": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans([4])}
+            SELECT id, 'kmeans' AS method, cluster_id FROM kmeans_labels""",
+        "k_search": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans(list(range(4, 71, 4)))},
+            apart AS (SELECT a.id, b.id AS other, list_distance(a.e, b.e) ** 2 AS d FROM dense a JOIN dense b ON a.id <> b.id),
+            sums AS (
+              SELECT mine.k, apart.id, mine.cluster_id AS own, theirs.cluster_id AS theirs, sum(d) AS d, count(*) AS n
+              FROM apart JOIN kmeans_labels mine ON mine.id = apart.id
+              JOIN kmeans_labels theirs ON theirs.id = other AND theirs.k = mine.k GROUP BY ALL
+            ),
+            near AS (SELECT k, id, min(d / n) AS b FROM sums WHERE own <> theirs GROUP BY ALL),
+            home AS (SELECT k, id, d / n AS a FROM sums WHERE own = theirs)
+            SELECT CAST(k AS INTEGER) AS k, count(*) AS n_scored, round(
+              avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+            FROM near LEFT JOIN home USING (k, id) GROUP BY k""",
+        "discover": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans([4])},
+            assigned AS (SELECT docs.*, cluster_id FROM docs JOIN kmeans_labels ON id = doc_id),
+            {_NEAR_DOCS}, {_TERMS}, {_CATALOGUE}""",
         "cluster_map": f"""WITH {_BY_LANGUAGE}, {_TERMS}
             SELECT doc_id, CAST(n_chars AS DOUBLE) AS x, CAST(doc_id AS DOUBLE) AS y, cluster_id,
                    cluster_id = -1 AS is_noise,
@@ -478,12 +578,13 @@ def statements() -> dict[str, str]:
             SELECT CAST(floor(n_chars / 250.0) AS BIGINT) AS x_bin, CAST(floor(doc_id / 250.0) AS BIGINT) AS y_bin,
                    cluster_id, count(*) AS n
             FROM assigned GROUP BY ALL""",
-        "kpi_report": f"""WITH {_silhouette(True)},
-            cells AS (SELECT cluster_id AS a, lang AS b, count(*) AS n
-                      FROM v JOIN documents ON doc_id = vec_id WHERE cluster_id <> -1 GROUP BY ALL),
+        "kpi_report": f"""WITH {_BY_LANGUAGE}, {_HASHED}, {_DENSE},
+            {_silhouette("SELECT doc_id AS vec_id, cluster_id, e FROM assigned JOIN dense ON id = doc_id WHERE cluster_id <> -1", 2)},
+            cells AS (SELECT cluster_id AS a, source AS b, count(*) AS n FROM assigned
+                      WHERE cluster_id <> -1 GROUP BY ALL),
             {_agreement("cells")},
             facts AS (SELECT count(*) AS n, count(DISTINCT cluster_id) FILTER (WHERE cluster_id <> -1) AS c,
-                             count(*) FILTER (WHERE cluster_id = -1) AS noise FROM v),
+                             count(*) FILTER (WHERE cluster_id = -1) AS noise FROM assigned),
             rows AS (
               SELECT 'n_samples' AS metric, CAST(n AS DOUBLE) AS value, 'neutral' AS band FROM facts
               UNION ALL SELECT 'n_clusters', c, 'neutral' FROM facts

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 
@@ -132,3 +134,31 @@ def silhouette(x, labels):
         b = min(d[i, labels == c].mean() for c in set(labels.tolist()) - {labels[i]})
         s.append((b - a) / max(a, b) if max(a, b) > 0 else 0.0)
     return float(np.mean(s))
+
+
+def squared_silhouette(x, labels):
+    """Mean silhouette with squared distances, pair by pair."""
+    x, labels = np.asarray(x, float), np.asarray(labels)
+    apart = ((x[:, None] - x[None]) ** 2).sum(2)
+    values = []
+    for i, own in enumerate(labels):
+        mates = (labels == own) & (np.arange(len(x)) != i)
+        outside = min(apart[i][labels == c].mean() for c in set(labels.tolist()) - {own})
+        inside = apart[i][mates].mean() if mates.any() else 0.0
+        worst = max(inside, outside)
+        values.append((outside - inside) / worst if mates.any() and worst > 0 else 0.0)
+    return float(np.mean(values))
+
+
+def groups(labels):
+    """Members of each label, noise left out, by least member."""
+    out = {}
+    for i, c in enumerate(labels):
+        if c != -1:
+            out.setdefault(c, []).append(i)
+    return sorted(out.values())
+
+
+def digest(seed, row_id):
+    """Place of a row in a seeded sample."""
+    return hashlib.md5(f"{seed}:{row_id}".encode()).hexdigest(), row_id

@@ -6,14 +6,16 @@ import pytest
 from themewell.operators import labels, report, represent
 
 
+SPOTS = {3: [(1, 1), (1, 2), (4, 1), (2, 5), (2, 2), (9, 1)], 8: [(-20, 0), (-21, 3), (-24, 0)], -1: [(50, 50), (0, -70)]}
+
+
 @pytest.fixture
 def plane(spark, vectors_of, assigned_of):
-    rng = np.random.default_rng(0)
-    x = np.vstack(
-        [rng.normal(0, 0.1, (5, 2)), 10 + rng.normal(0, 0.1, (5, 2)), [5, -5] + rng.normal(0, 0.1, (2, 2))]
-    )
-    clusters = [0] * 5 + [1] * 5 + [-1] * 2
-    texts = spark.createDataFrame([(i, f"text {'abc'[min(i // 5, 2)]} {i}") for i in range(12)], "id long, text string")
+    """Two clusters of unequal size and noise, with a text about each; ids mix the clusters."""
+    rows = sorted(((x * 7 + y) % 11, x, y, c) for c, spots in SPOTS.items() for x, y in spots)
+    x, clusters = np.array([r[1:3] for r in rows], float), [r[3] for r in rows]
+    word = {3: "apple", 8: "bridge", -1: "cloud"}
+    texts = spark.createDataFrame([(i, f"the {word[c]} number {i}") for i, c in enumerate(clusters)], "id long, text string")
     return x, vectors_of(x), assigned_of(clusters), texts
 
 
@@ -21,14 +23,14 @@ def plane(spark, vectors_of, assigned_of):
 def test_nearest_to_the_centroid(plane, monkeypatch, limit):
     monkeypatch.setattr(represent, "BROADCAST_BYTES", limit)
     x, vectors, assigned, _ = plane
-    rows = represent.nearest_to_centroid(vectors, assigned, 3).orderBy("cluster_id", "rank").collect()
-    assert {r.cluster_id for r in rows} == {0, 1}
-    for c in (0, 1):
-        members = np.arange(5) + 5 * c
-        x32 = x.astype(np.float32).astype(float)
-        dist = np.linalg.norm(x32[members] - x32[members].mean(0), axis=1)
-        assert [r.id for r in rows if r.cluster_id == c] == members[np.argsort(dist)[:3]].tolist()
-    assert represent.nearest_to_centroid(vectors, assigned, 8).count() == 10
+    clusters = np.array([r.cluster_id for r in assigned.orderBy("id").collect()])
+    rows = represent.nearest_to_centroid(vectors, assigned, 4).orderBy("cluster_id", "rank").collect()
+    for c in (3, 8):
+        members = np.flatnonzero(clusters == c)
+        away = np.hypot(*(x[members] - x[members].mean(0)).T).round(9)
+        want = [int(i) for _, i in sorted(zip(away, members))][:4]
+        assert [(r.id, r.rank) for r in rows if r.cluster_id == c] == [(i, n) for n, i in enumerate(want, 1)]
+    assert len(rows) == 4 + 3
 
 
 def test_distinct_examples(spark):
@@ -47,9 +49,10 @@ def requests(plane):
 
 def test_prompts_hold_the_examples_and_noise_is_left_out(requests):
     rows = {r.cluster_id: r for r in requests.collect()}
-    assert set(rows) == {0, 1} and rows[0].size == 5
-    assert all(f"- {e}" in rows[0].prompt for e in rows[0].examples)
-    assert '"label"' in rows[0].prompt and '"description"' in rows[0].prompt
+    assert {c: r.size for c, r in rows.items()} == {3: 6, 8: 3}
+    for r in rows.values():
+        assert [line[2:] for line in r.prompt.splitlines() if line.startswith("- ")] == r.examples
+        assert '"label"' in r.prompt and '"description"' in r.prompt
 
 
 def scripted(replies):
@@ -99,7 +102,7 @@ def test_keyword_names(plane):
     _, _, assigned, texts = plane
     terms = labels.keyword_terms(assigned, texts, 2)
     names = {r.cluster_id: r.label for r in labels.keyword_labels(terms).collect()}
-    assert names[0].startswith("a / ") and names[1].startswith("b / ")
+    assert names[3].startswith("apple") and names[8].startswith("bridge") and set(names) == {3, 8}
 
 
 def test_catalogue_is_sorted_by_size(spark, assigned_of):

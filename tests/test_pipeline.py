@@ -1,11 +1,10 @@
 import json
 
 import pytest
-from conftest import blobs
 
 from themewell.operators.sweep import Setting
 from themewell.plans import pipeline
-from themewell.sources.stages import StageStore
+from themewell.sources.stages import StageStore, StaleStage
 from themewell.sources.tables import read_or_fetch
 
 
@@ -32,8 +31,13 @@ def test_whole_run(spark, store, tmp_path):
     metrics = {(r.method, r.metric): r.value for r in pipeline.validate(store).collect()}
     assert metrics["kmeans", "ari_vs_category_own"] == 1.0
     assert metrics["hdbscan", "n_clusters"] == 3
-    summary = json.loads(pipeline.summary_json(store.read("metrics")).first().summary)
-    assert summary["kmeans"]["nmi_vs_category_own"] == 1.0
+    pipeline.write_summary(store, str(tmp_path / "summary"))
+    summary = json.loads(spark.read.text(str(tmp_path / "summary"), wholetext=True).first().value)
+    assert (summary["n_samples"], summary["embedding_dim"]) == (30, 384)
+    assert summary["kmeans"]["external_validation"]["category"]["own"] == {"ari": 1.0, "nmi": 1.0, "n": 30.0}
+    assert (summary["kmeans"]["k"], summary["kmeans"]["k_search"]) == (3, [])
+    assert (summary["hdbscan"]["min_cluster_size"], summary["hdbscan"]["min_samples"]) == (5, 2)
+    assert summary["hdbscan"]["n_clusters"] == 3 and -1 <= summary["kmeans"]["silhouette"] <= 1
     assert store.missing() == ["coords", "catalogue"]
     with pytest.raises(FileNotFoundError, match="coords, catalogue"):
         pipeline.make_report(store)
@@ -85,5 +89,64 @@ def test_raw_cache(spark, tmp_path):
     assert len(calls) == 2
 
 
-def test_blob_helper_is_stable():
-    assert blobs().shape == (60, 8)
+RAW = "id long, text string, category string, intent string"
+
+
+def raw_of(spark, n):
+    return lambda: spark.createDataFrame([(i, f"text {i} about {'tea' if i % 2 else 'rain'}", "c", "i") for i in range(n)], RAW)
+
+
+def test_a_sample_and_all_texts_are_not_mixed_up(store, spark):
+    raw = raw_of(spark, 50)
+    for size, n in ((10, 10), (None, 50), (10, 10), (20, 20)):
+        pipeline.load(store, raw, sample_size=size)
+        assert store.read("texts").count() == store.read("labels").count() == n
+
+
+def test_another_model_encodes_anew_and_what_follows_is_stale(store, spark):
+    from themewell.operators import embed
+
+    pipeline.load(store, raw_of(spark, 50))
+    pipeline.embed(store)
+    pipeline.place(store)
+    assert len(store.read("vectors").first().embedding) == 384
+    small = lambda df: embed.embed_hash(df, dim=3)
+    pipeline.embed(store, small, model="small")
+    assert len(store.read("vectors").first().embedding) == 3 and store.read("vectors").count() == 50
+    with pytest.raises(StaleStage, match="older vectors"):
+        store.read("coords")
+    before = store.stamp("vectors")
+    pipeline.embed(store, small, model="small")
+    assert store.stamp("vectors") == before
+
+
+def test_two_runs_share_a_store_of_vectors(spark, tmp_path):
+    for run in ("r1", "r2"):
+        store = StageStore(spark, str(tmp_path / "stages"), run)
+        pipeline.load(store, raw_of(spark, 50))
+        pipeline.embed(store)
+        assert store.read("vectors").count() == 50
+
+
+def test_names_belong_to_one_method_and_clustering(store, spark):
+    pipeline.load(store, raw_of(spark, 20))
+    pipeline.embed(store)
+    named = lambda: (lambda prompt: json.dumps({"label": "x", "description": "y"}))
+
+    def assigned(clusters):
+        rows = [(i, m, c) for m, cs in clusters.items() for i, c in enumerate(cs)]
+        store.write("assigned", spark.createDataFrame(rows, "id long, method string, cluster_id int"), inputs=["vectors"])
+
+    assigned({"hdbscan": [0] * 20, "kmeans": [0] * 12 + [1] * 8})
+    assert [r["size"] for r in pipeline.label(store, named).collect()] == [20]
+    assert sorted(r["size"] for r in pipeline.label(store, named, method="kmeans").collect()) == [8, 12]
+    assigned({"hdbscan": [0] * 5 + [-1] * 15, "kmeans": [0] * 20})
+    assert [r["size"] for r in pipeline.label(store, named).collect()] == [5]
+    assert [r["size"] for r in pipeline.label(store, named, method="kmeans").collect()] == [20]
+
+
+def test_files_that_lack_a_column_count_as_missing(store, spark):
+    spark.createDataFrame([(1, 2.0)], "id long, x double").write.parquet(store.path("coords"))
+    assert "coords" in store.missing(["coords"])
+    store.write("coords", spark.createDataFrame([(1, 2.0, 3.0, "pca")], "id long, x double, y double, method string"))
+    assert store.missing(["coords"]) == []

@@ -3,54 +3,94 @@ import math
 import brute
 import numpy as np
 import pytest
-from conftest import blobs
+from conftest import clumps
 
 from themewell.operators import agreement, silhouette
 
 
 @pytest.fixture
 def score(spark, assigned_of):
+    """Scores of clusters against labels; a label of None means that the row has none."""
+
     def run(clusters, truth, **options):
-        heldout = spark.createDataFrame([(i, str(t)) for i, t in enumerate(truth)], "id long, truth string")
+        rows = [(i, t) for i, t in enumerate(truth) if t is not None]
+        heldout = spark.createDataFrame(rows, "id long, truth string")
         return agreement.external_validation(assigned_of(clusters), heldout, "truth", **options).first()
 
     return run
 
 
-def test_perfect_agreement_is_exactly_one(score):
-    row = score([0, 0, 1, 1, 2, 2], "aabbcc")
-    assert (row.ari, row.nmi, row.n_evaluated) == (1.0, 1.0, 6)
+def information(table):
+    """Mutual information over the mean entropy, cell by cell."""
+    p = np.array(table, float) / np.sum(table)
+    rows, columns = p.sum(1), p.sum(0)
+    shared = sum(v * math.log(v / (rows[i] * columns[j])) for (i, j), v in np.ndenumerate(p) if v)
+    entropy = lambda q: -sum(v * math.log(v) for v in q if v)
+    return shared / ((entropy(rows) + entropy(columns)) / 2)
+
+
+def spell(table):
+    """Clusters and labels of a contingency table."""
+    cells = [(a, "pqrs"[b]) for (a, b), n in np.ndenumerate(np.array(table)) for _ in range(n)]
+    return [a for a, _ in cells], [b for _, b in cells]
+
+
+def test_hand_computed_table(score):
+    # 4 + 1 over 0 + 3: pairs 6 + 3 = 9 together, 10 + 3 = 13 by cluster, 6 + 6 = 12 by label, 28 in all.
+    table = [[4, 1], [0, 3]]
+    row = score(*spell(table))
+    chance = 13 * 12 / 28
+    assert row.ari == pytest.approx((9 - chance) / (12.5 - chance), abs=1e-12)
+    # The sums written out: cells 1/2, 1/8, 3/8; margins 5/8, 3/8 and 1/2, 1/2.
+    shared = 0.5 * math.log(0.5 / (5 / 16)) + 0.125 * math.log(0.125 / (5 / 16)) + 0.375 * math.log(0.375 / (3 / 16))
+    mean = (-(5 / 8) * math.log(5 / 8) - (3 / 8) * math.log(3 / 8) + math.log(2)) / 2
+    assert row.nmi == pytest.approx(shared / mean, abs=1e-12)
+    assert (row.n_evaluated, row.n_total) == (8, 8)
 
 
-def test_random_labels_do_not_agree(score):
-    rng = np.random.default_rng(1)
-    assert score(rng.integers(0, 5, 200), rng.integers(0, 5, 200)).ari < 0.2
+@pytest.mark.parametrize("table", [[[5, 0, 2], [1, 7, 0]], [[1, 1], [1, 1]], [[3, 0], [0, 2], [4, 4]], [[2, 3, 4, 5]]])
+def test_information_cell_by_cell(score, table):
+    if len(table) > 1:
+        assert score(*spell(table)).nmi == pytest.approx(information(table), abs=1e-12)
+    else:
+        assert score(*spell(table)).nmi == 0.0
 
 
-def test_noise_is_left_out(score):
-    row = score([-1, -1, 0, 0, 1, 1], "xyaabb")
-    assert (row.ari, row.n_evaluated, row.n_total) == (1.0, 4, 6)
-    assert score([-1, -1, 0, 0, 1, 1], "xyaabb", exclude_noise=False).n_evaluated == 6
+def test_renamed_partition_is_one(score):
+    row = score([7, 3, 3, 9, 9, 9, 7], list("zuuiiiz"))
+    assert (row.ari, row.nmi) == (1.0, 1.0)
 
 
-def test_only_noise_is_undefined(score):
-    row = score([-1, -1], "ab")
-    assert math.isnan(row.ari) and math.isnan(row.nmi) and (row.n_evaluated, row.n_total) == (0, 2)
+def test_noise_is_counted_and_not_scored(score):
+    clusters, truth = [4, 4, -1, 2, 2, -1, -1], list("ggghhhg")
+    row = score(clusters, truth)
+    assert (row.ari, row.nmi, row.n_evaluated, row.n_total) == (1.0, 1.0, 4, 7)
+    everything = score(clusters, truth, exclude_noise=False)
+    assert everything.n_evaluated == 7 and everything.ari < 1.0
+
+
+def test_rows_without_label_count_in_the_total_only(score):
+    row = score([0, 0, 1, 1, -1, 0], ["a", "a", "b", None, None, None])
+    assert (row.ari, row.n_evaluated, row.n_total) == (1.0, 3, 6)
+    none = score([0, 1, -1], [None] * 3)
+    assert math.isnan(none.ari) and math.isnan(none.nmi) and (none.n_evaluated, none.n_total) == (0, 3)
 
 
 def test_one_sided_single_class(score):
-    row = score([0, 0, 0, 0], "abab")
+    row = score([6, 6, 6, 6, 6], list("kmkmk"))
     assert (row.ari, row.nmi) == (0.0, 0.0)
 
 
-def test_agreement_against_pair_counting(score):
-    rng = np.random.default_rng(3)
-    a, b = rng.integers(0, 4, 60), rng.integers(0, 3, 60)
-    same_a, same_b = a[:, None] == a[None, :], b[:, None] == b[None, :]
-    upper = np.triu_indices(60, 1)
-    both, in_a, in_b = ((m[upper]).sum() for m in (same_a & same_b, same_a, same_b))
-    chance = in_a * in_b / len(upper[0])
-    assert score(a, b).ari == pytest.approx((both - chance) / ((in_a + in_b) / 2 - chance), abs=1e-12)
+@pytest.mark.parametrize("seed", [5, 6])
+def test_agreement_against_pair_counting(score, seed):
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(0, 6, 75), rng.integers(0, 3, 75)
+    together = [[(u[i] == u[j]) for i in range(75) for j in range(i)] for u in (a, b)]
+    both = sum(x and y for x, y in zip(*together))
+    in_a, in_b, all_pairs = sum(together[0]), sum(together[1]), 75 * 74 // 2
+    chance = in_a * in_b / all_pairs
+    row = score(a, [str(v) for v in b])
+    assert row.ari == pytest.approx((both - chance) / ((in_a + in_b) / 2 - chance), abs=1e-12)
 
 
 def test_metrics_on_own_and_shared_rows(spark):
@@ -64,31 +104,34 @@ def test_metrics_on_own_and_shared_rows(spark):
     assert got["m2", "ari_vs_truth_own"] < 1.0
 
 
-def test_silhouette_of_blobs(vectors_of, assigned_of):
-    x, labels = blobs(), np.repeat([0, 1, 2], 20)
-    row = silhouette.silhouette(vectors_of(x), assigned_of(labels), sample_size=60).first()
-    assert row.silhouette > 0.5 and row.n_scored == 60
-    assert row.silhouette == pytest.approx(brute.silhouette(x, labels), abs=1e-9)
+def test_silhouettes_equal_plain_pairs(vectors_of, assigned_of):
+    x = clumps((14, 9, 11), noise=6.0)
+    labels = np.repeat([4, 0, 2], [14, 9, 11])
+    labels[::5] = -1
+    kept = labels != -1
+    pairs = silhouette.silhouette(vectors_of(x), assigned_of(labels), None).first()
+    assert pairs.silhouette == pytest.approx(brute.silhouette(x[kept], labels[kept]), abs=1e-9)
+    linear = silhouette.silhouette_linear(vectors_of(x), assigned_of(labels)).first()
+    assert linear.silhouette == pytest.approx(brute.squared_silhouette(x[kept], labels[kept]), abs=1e-9)
+    assert pairs.n_scored == linear.n_scored == kept.sum()
 
 
-def test_one_cluster_is_undefined(vectors_of, assigned_of):
-    row = silhouette.silhouette(vectors_of(blobs(n_clusters=1)), assigned_of(np.zeros(20))).first()
-    assert math.isnan(row.silhouette)
-    assert math.isnan(silhouette.silhouette(vectors_of(blobs()), assigned_of(np.full(60, -1))).first().silhouette)
+def test_a_sample_scores_just_these_rows(vectors_of, assigned_of):
+    x, labels = clumps((40, 30), noise=3.0), np.repeat([0, 1], [40, 30])
+    row = silhouette.silhouette(vectors_of(x), assigned_of(labels), 25).first()
+    taken = sorted(sorted(range(70), key=lambda i: brute.digest(42, i))[:25])
+    assert row.n_scored == 25
+    assert row.silhouette == pytest.approx(brute.silhouette(x[taken], labels[taken]), abs=1e-9)
 
 
-def test_silhouette_without_noise(vectors_of, assigned_of):
-    x, labels = blobs(n_clusters=2), np.repeat([0, 1], 20)
-    noisy = labels.copy()
-    noisy[:5] = -1
-    clean = silhouette.silhouette(vectors_of(x), assigned_of(labels), sample_size=40).first()
-    left = silhouette.silhouette(vectors_of(x), assigned_of(noisy), sample_size=40).first()
-    assert abs(clean.silhouette - left.silhouette) < 0.3 and left.n_scored == 35
+@pytest.mark.parametrize("clusters", [[3] * 6, [-1] * 6, [2, -1, -1, -1, -1, -1]])
+def test_fewer_than_two_clusters_are_undefined(vectors_of, assigned_of, clusters):
+    x = clumps((4, 2))
+    assert math.isnan(silhouette.silhouette(vectors_of(x), assigned_of(clusters), None).first().silhouette)
+    assert math.isnan(silhouette.silhouette_linear(vectors_of(x), assigned_of(clusters)).first().silhouette)
 
 
-def test_tiles_do_not_change_the_silhouette(spark):
-    from pyspark.sql import functions as F
-
+def test_tiles_and_portions_do_not_change_the_silhouette(spark, monkeypatch):
     rng = np.random.default_rng(5)
     x = np.round(rng.normal(size=(90, 3)))
     labels = rng.integers(0, 5, size=(90, 2))
@@ -99,4 +142,8 @@ def test_tiles_do_not_change_the_silhouette(spark):
         got = {r.labelling: r.silhouette for r in silhouette.silhouette_scores(df, 2, tile).collect()}
         for which in (0, 1):
             assert got[which] == pytest.approx(brute.silhouette(x, labels[:, which]), abs=1e-9)
-    assert df.select(F.count("id")).first()[0] == 90
+    for limit in (1 << 20, 50):
+        monkeypatch.setattr(silhouette, "SUMS_BYTES", limit)
+        got = {r.labelling: r.silhouette for r in silhouette.linear_scores(df, 2).collect()}
+        for which in (0, 1):
+            assert got[which] == pytest.approx(brute.squared_silhouette(x, labels[:, which]), abs=1e-9)

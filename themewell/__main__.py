@@ -45,7 +45,8 @@ def main() -> None:
     elif args.step == "discover":
         pipeline.discover(store, args.k)
     elif args.step == "validate":
-        pipeline.summary_json(pipeline.validate(store)).show(truncate=False)
+        pipeline.validate(store).show(truncate=False)
+        pipeline.write_summary(store, f"{args.out or store.root}/summary_{store.run_id}")
     elif args.step == "tune":
         pipeline.tune(store, f"{args.out or store.root}/sweep_{store.run_id}").show(truncate=False)
     elif args.step == "place":

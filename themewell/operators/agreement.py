@@ -39,7 +39,7 @@ def contingency(
     kept = without_noise(assigned) if exclude_noise else assigned
     return (
         kept.select("id", F.col("cluster_id").alias("a"))
-        .join(heldout.select("id", F.col(truth_col).alias("b")), "id")
+        .join(heldout.select("id", F.col(truth_col).alias("b")).where("b is not null"), "id")
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -86,14 +86,13 @@ def agreement(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def external_validation(
     assigned: DataFrame, heldout: DataFrame, truth_col: str, exclude_noise: bool = True
 ) -> DataFrame:
-    """One row ``ari, nmi, n_evaluated, n_total``; ``n_total`` counts noise too.
+    """One row ``ari, nmi, n_evaluated, n_total``.
 
-    Rows are counted in the contingency table that still holds the noise, so
-    the two inputs are joined once.
+    ``n_total`` counts all assigned rows, noise and rows without a held-out
+    label too; ``n_evaluated`` those that are scored.
     """
-    every = contingency(assigned, heldout, truth_col, exclude_noise=False)
-    cells = without_noise(every, "a") if exclude_noise else every
-    total = every.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"))
+    cells = contingency(assigned, heldout, truth_col, exclude_noise)
+    total = assigned.agg(F.count(F.lit(1)).alias("n_total"))
     return agreement(cells).withColumn("n_total", total.scalar())
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from themewell.functions import text as tx
 from themewell.operators.agreement import cluster_counts, cluster_sizes
+from themewell.session import cut
 
 # Fixed values of the report.
 SILHOUETTE_BANDS = (0.15, 0.5)
@@ -14,6 +15,9 @@ NMI_BANDS = (0.4, 0.7)
 NOISE_PERCENT_FLAG = 15
 CATALOGUE_EXAMPLES = 5
 
+# Names are short, so this many are a few megabytes; more are left to adaptive execution.
+BROADCAST_NAMES = 50_000
+
 
 def cluster_catalogue(assigned: DataFrame, labels: DataFrame, example_rows: DataFrame) -> DataFrame:
     """``cluster_id, label, description, size, share, examples``; largest first.
@@ -43,7 +47,7 @@ def cluster_map(coords: DataFrame, assigned: DataFrame, texts: DataFrame, labels
         coords.select("id", "x", "y")
         .join(assigned.select("id", "cluster_id"), "id")
         .join(texts.select("id", "text"), "id")
-        .join(labels.select("cluster_id", "label"), "cluster_id", "left")
+        .join(_names(labels), "cluster_id", "left")
         .select(
             "id",
             "x",
@@ -55,6 +59,12 @@ def cluster_map(coords: DataFrame, assigned: DataFrame, texts: DataFrame, labels
     )
 
 
+def _names(labels: DataFrame) -> DataFrame:
+    """Cluster names, broadcast while they are few; noise, which is many rows, must not meet them in one task."""
+    names = cut(labels.select("cluster_id", "label"))
+    return F.broadcast(names) if names.limit(BROADCAST_NAMES + 1).count() <= BROADCAST_NAMES else names
+
+
 def map_bins(points: DataFrame, step: float) -> DataFrame:
     """Points per square of the map and cluster, so that a drawn map stays small."""
     return points.groupBy(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -27,8 +28,10 @@ def load(
         kept = dedupe_first(clean_text(raw))
         return kept if sample_size is None else seeded_sample(kept, sample_size, seed)
 
-    texts = store.once("texts", lambda: split_heldout(clean()).texts, force)
-    store.once("labels", lambda: split_heldout(raw.join(texts.select("id"), "id", "left_semi")).labels, force)
+    chosen = {"sample_size": sample_size, "seed": seed if sample_size is not None else None}
+    texts = store.once("texts", lambda: split_heldout(clean()).texts, force, chosen, ["raw"])
+    heldout = lambda: split_heldout(raw.join(texts.select("id"), "id", "left_semi")).labels
+    store.once("labels", heldout, force, inputs=["raw", "texts"])
 
 
 def embed(
@@ -36,7 +39,7 @@ def embed(
 ) -> None:
     """Vectors for the texts; texts that any run has encoded before are looked up."""
     cache = f"{store.root}/embedding_store"
-    store.once("vectors", lambda: embed_cached(store.read("texts"), cache, encode, model), force)
+    store.once("vectors", lambda: embed_cached(store.read("texts"), cache, encode, model), force, {"model": model}, ["texts"])
 
 
 def discover(
@@ -50,9 +53,10 @@ def discover(
     vectors = store.read("vectors")
     flat = kmeans.run_kmeans(vectors, k, k_range)
     if flat.scores is not None:
-        store.write("k_search", flat.scores)
+        store.write("k_search", flat.scores, inputs=["vectors"])
     dense = density.run_hdbscan(vectors, min_cluster_size, min_samples)
-    store.write("assigned", flat.assigned.unionByName(dense))
+    chosen = {"k": flat.k, "k_search": flat.scores is not None, "min_cluster_size": min_cluster_size, "min_samples": min_samples}
+    store.write("assigned", flat.assigned.unionByName(dense), settings=chosen, inputs=["vectors"])
 
 
 def _of(assigned: DataFrame, method: str) -> DataFrame:
@@ -65,24 +69,48 @@ def validate(store: StageStore, methods: Sequence[str] = ("kmeans", "hdbscan"))
     frames = [agreement.external_metrics(assigned, store.read("labels"), TARGETS)]
     for method in methods:
         rows = _of(assigned, method)
-        inside = silhouette.silhouette(vectors, rows)
+        inside = silhouette.silhouette_linear(vectors, rows)
         counts = agreement.cluster_counts(rows)
         for facts in (inside, counts):
             entries = [
                 F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in facts.columns
             ]
             frames.append(facts.select(F.lit(method).alias("method"), F.inline(F.array(*entries))))
-    return store.write("metrics", reduce(DataFrame.unionByName, frames))
+    return store.write("metrics", reduce(DataFrame.unionByName, frames), inputs=["vectors", "assigned", "labels"])
 
 
-def summary_json(metrics: DataFrame) -> DataFrame:
-    """One row: ``{method: {metric: value}}``. There are some twenty metrics per method."""
-    per_method = metrics.groupBy("method").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value")))).alias("m")
+def run_summary(store: StageStore) -> dict:
+    """What a run found, as a nested dictionary: sizes, settings, the search for k, and each method's measures.
+
+    There are some twenty measures per method and a line per k, so this is small
+    whatever the tables hold.
+    """
+    vectors, settings = store.read("vectors"), store.about("assigned").get("settings", {})
+    width = vectors.select(F.size("embedding").alias("n")).limit(1).collect()
+    out: dict = {"n_samples": vectors.count(), "embedding_dim": width[0]["n"] if width else 0}
+    # A search counts only if the clusters came from it.
+    searched = settings.get("k_search") and store.has("k_search")
+    curve = store.read("k_search").orderBy("k").collect() if searched else []
+    for r in store.read("metrics").collect():
+        method = out.setdefault(r["method"], {})
+        if "_vs_" in r["metric"]:
+            measure, rest = r["metric"].split("_vs_", 1)
+            target, scope = rest.rsplit("_", 1)
+            method.setdefault("external_validation", {}).setdefault(target, {}).setdefault(scope, {})[measure] = r["value"]
+        else:
+            method[r["metric"]] = r["value"]
+    out.setdefault("kmeans", {}).update(
+        k=settings.get("k"), k_search=[{"k": r["k"], "silhouette": r["silhouette"], "n_scored": r["n_scored"]} for r in curve]
     )
-    entries = F.array_sort(F.collect_list(F.struct("method", F.to_json("m").alias("json"))))
-    pairs = F.transform(entries, lambda e: F.concat(F.lit('"'), e["method"], F.lit('":'), e["json"]))
-    return per_method.agg(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")).alias("summary"))
+    out.setdefault("hdbscan", {}).update({s: settings.get(s) for s in ("min_cluster_size", "min_samples")})
+    return out
+
+
+def write_summary(store: StageStore, path: str) -> None:
+    """The summary as one JSON text under ``path``; undefined measures are null."""
+    plain = lambda v: {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else None if v != v else v
+    row = store.spark.createDataFrame([(json.dumps(plain(run_summary(store)), sort_keys=True),)], "value string")
+    row.coalesce(1).write.mode("overwrite").text(path)
 
 
 def tune(store: StageStore, csv_path: str, settings: Sequence[sweep.Setting] = sweep.DEFAULT_SETTINGS) -> DataFrame:
@@ -93,7 +121,7 @@ def tune(store: StageStore, csv_path: str, settings: Sequence[sweep.Setting] = s
 
 
 def place(store: StageStore) -> DataFrame:
-    return store.write("coords", project.project_2d(store.read("vectors")))
+    return store.write("coords", project.project_2d(store.read("vectors")), inputs=["vectors"])
 
 
 def label(
@@ -108,7 +136,8 @@ def label(
     """The catalogue, filled ``clusters_at_once`` at a time.
 
     Each portion is appended when it is done, so a broken run goes on with the
-    clusters that have no name yet. Without a labeler, names are key words.
+    clusters that have no name yet. Rows carry the method and the stamp of the
+    clustering they describe; those of other clusterings are not taken for these. Without a labeler, names are key words.
     Failed clusters stay out of the table and are asked again by the next run;
     ``strict`` raises for them instead.
     """
@@ -116,8 +145,9 @@ def label(
     assigned = _of(store.read("assigned"), method).drop("method")
     nearest = represent.nearest_to_centroid(vectors, assigned)
     requests = labels.label_requests(assigned, represent.examples(nearest, texts))
+    made_from = store.stamp("assigned")
     if store.has("catalogue"):
-        requests = requests.join(store.read("catalogue").select("cluster_id"), "cluster_id", "left_anti")
+        requests = requests.join(catalogue(store, method).select("cluster_id"), "cluster_id", "left_anti")
     requests = requests.persist()
     try:
         if make_labeler is None:
@@ -134,13 +164,22 @@ def label(
                 if strict:
                     labels.require_labels(names)
                 names = names.where(F.col("status") == "done")
-            done = asked.join(names, "cluster_id").select("cluster_id", "label", "description", "size", "examples")
+            done = asked.join(names, "cluster_id").select(
+                "cluster_id", "label", "description", "size", "examples",
+                F.lit(method).alias("method"), F.lit(made_from).alias("made_from"),
+            )
             store.write("catalogue", done, mode="append")
             if on_labelled is not None:
-                on_labelled(store.read("catalogue"))
+                on_labelled(catalogue(store, method))
     finally:
         requests.unpersist()
-    return store.read("catalogue")
+    return catalogue(store, method)
+
+
+def catalogue(store: StageStore, method: str) -> DataFrame:
+    """The named clusters of a method's present clustering."""
+    of_these = (F.col("method") == method) & F.col("made_from").eqNullSafe(F.lit(store.stamp("assigned")))
+    return store.read("catalogue").where(of_these)
 
 
 def make_report(store: StageStore, method: str = "hdbscan", other: str = "kmeans") -> dict[str, DataFrame]:
@@ -149,12 +188,12 @@ def make_report(store: StageStore, method: str = "hdbscan", other: str = "kmeans
     if missing:
         raise FileNotFoundError(f"run {store.run_id} lacks: {', '.join(missing)}")
     assigned, metrics = _of(store.read("assigned"), method), store.read("metrics")
-    catalogue = store.read("catalogue")
+    named = catalogue(store, method)
     value = lambda name: F.max(F.when((F.col("method") == method) & (F.col("metric") == name), F.col("value")))
     figures = metrics.agg(value("silhouette").alias("silhouette"), value("nmi_vs_category_own").alias("nmi"))
     return {
         "kpi": report.kpi_report(assigned, figures, figures),
-        "map": report.cluster_map(store.read("coords"), assigned, store.read("texts"), catalogue),
-        "catalogue": report.cluster_catalogue(assigned, catalogue, catalogue.select("cluster_id", "examples")),
+        "map": report.cluster_map(store.read("coords"), assigned, store.read("texts"), named),
+        "catalogue": report.cluster_catalogue(assigned, named, named.select("cluster_id", "examples")),
         "comparison": report.method_comparison(metrics, method, other),
     }

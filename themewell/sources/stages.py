@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+import uuid
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +20,25 @@ STAGES = {
     "k_search": "k int, silhouette double, n_scored long",
     "metrics": "method string, metric string, value double",
     "coords": "id long, x double, y double, method string",
-    "catalogue": "cluster_id int, label string, description string, size long, examples array<string>",
+    "catalogue": "cluster_id int, label string, description string, size long, examples array<string>, "
+    "method string, made_from string",
 }
 
 # What the report needs before it can be made.
 REPORT_STAGES = ("texts", "assigned", "coords", "metrics", "catalogue")
 
 
+class StaleStage(RuntimeError):
+    """A stage was made from inputs that have been made anew since."""
+
+
 class StageStore:
-    """Tables ``<root>/<stage>/run_id=<run>``; a table counts once it is whole."""
+    """Tables ``<root>/<stage>/run_id=<run>``; a table counts once it is whole.
+
+    Beside each table lies what it was made with: settings, the stamps of the
+    stages it was made from, and a stamp of its own. A stage is used again only if
+    all of that still holds.
+    """
 
     def __init__(self, spark: SparkSession, root: str, run_id: str) -> None:
         self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
@@ -36,29 +48,79 @@ class StageStore:
             raise KeyError(f"no stage {stage}; there are {', '.join(STAGES)}")
         return f"{self.root}/{stage}/run_id={self.run_id}"
 
+    def _about_path(self, stage: str) -> str:
+        return f"{self.root}/about_{stage}/run_id={self.run_id}"
+
+    def about(self, stage: str) -> dict:
+        """Settings, inputs and stamp of a stage; empty if it has none."""
+        path = self._about_path(stage)
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            return {}
+        return json.loads(self.spark.read.text(path, wholetext=True).first()["value"])
+
+    def stamp(self, stage: str) -> str | None:
+        return self.about(stage).get("stamp") if self.has(stage) else None
+
     def has(self, stage: str) -> bool:
         return path_exists(self.spark, f"{self.path(stage)}/_SUCCESS")
 
     def missing(self, stages: Iterable[str] = REPORT_STAGES) -> list[str]:
-        return [s for s in stages if not self.has(s)]
-
-    def write(self, stage: str, df: DataFrame, mode: str = "overwrite") -> DataFrame:
-        wanted = self.spark.createDataFrame([], STAGES[stage]).schema
+        """Stages that are not there, or whose files lack a column or have another type in it."""
+        return [s for s in stages if not self.has(s) or not self._fits(s)]
+
+    def _fits(self, stage: str) -> bool:
+        there = {f.name: f.dataType for f in self.spark.read.parquet(self.path(stage)).schema}
+        return all(there.get(f.name) == f.dataType for f in self._schema(stage))
+
+    def _schema(self, stage: str):
+        return self.spark.createDataFrame([], STAGES[stage]).schema
+
+    def write(
+        self,
+        stage: str,
+        df: DataFrame,
+        mode: str = "overwrite",
+        settings: Mapping | None = None,
+        inputs: Iterable[str] = (),
+    ) -> DataFrame:
+        wanted = self._schema(stage)
         require_columns(df, wanted.fieldNames(), f"stage {stage}")
+        about = {"settings": dict(settings or {}), "inputs": {i: self.stamp(i) for i in inputs}, "stamp": uuid.uuid4().hex}
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in wanted])
         typed.write.mode(mode).parquet(self.path(stage))
+        line = self.spark.createDataFrame([(json.dumps(about, sort_keys=True),)], "value string")
+        line.coalesce(1).write.mode("overwrite").text(self._about_path(stage))
         return self.read(stage)
 
     def read(self, stage: str) -> DataFrame:
+        """The table; an error if it is not there, or made from inputs that have changed since."""
         if not self.has(stage):
             raise FileNotFoundError(f"stage {stage} of run {self.run_id} is not there; run the step that makes it")
+        if old := self._changed(self.about(stage)):
+            raise StaleStage(f"stage {stage} of run {self.run_id} was made from an older {', '.join(old)}; make it anew")
         return self.spark.read.schema(STAGES[stage]).parquet(self.path(stage))
 
-    def once(self, stage: str, make: Callable[[], DataFrame], force: bool = False) -> DataFrame:
-        """The stage as it is, or made and written; ``force`` always makes it anew."""
-        if force or not self.has(stage):
-            return self.write(stage, make())
-        return self.read(stage)
+    def _changed(self, about: dict) -> list[str]:
+        return [i for i, stamp in about.get("inputs", {}).items() if self.stamp(i) != stamp]
+
+    def once(
+        self,
+        stage: str,
+        make: Callable[[], DataFrame],
+        force: bool = False,
+        settings: Mapping | None = None,
+        inputs: Iterable[str] = (),
+    ) -> DataFrame:
+        """The stage as it is if it was made with these settings from the inputs as they are; else made anew.
+
+        ``force`` always makes it anew.
+        """
+        if not force and self.has(stage):
+            about = self.about(stage)
+            same = about.get("settings", {}) == dict(settings or {}) and set(about.get("inputs", {})) == set(inputs)
+            if same and not self._changed(about):
+                return self.read(stage)
+        return self.write(stage, make(), settings=settings, inputs=inputs)
 
 
 def with_source_ids(raw: DataFrame) -> DataFrame:

@@ -20,15 +20,8 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str = "table")
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Read only ``columns`` of a Parquet table.
-
-    A table with fewer splits than the cluster has slots is spread out, so that
-    a small file does not keep per-row work in one task; a large one is left as
-    it is.
-    """
-    df = require_columns(spark.read.parquet(path), columns, path).select(*columns)
-    slots = spark.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    """Read only ``columns`` of a Parquet table."""
+    return require_columns(spark.read.parquet(path), columns, path).select(*columns)
 
 
 def read_or_fetch(
