@@ -23,7 +23,8 @@ from __future__ import annotations
 
 import struct
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,35 +105,50 @@ def unpack_blocks(content: bytes) -> Iterator[tuple[int, int, list[int | None],
 # ---- writing and reading ----------------------------------------------------
 
 
-_LOTS = "shard int, block int, nulls binary, doc_ids binary, counts binary, ids binary"
+#: Either a lot of documents, or (n_of_id) how often the task has met each id.
+_LOTS = "shard int, block int, nulls binary, doc_ids binary, counts binary, ids binary, n_of_id binary"
 
 
 def _tokenized(docs: DataFrame, path: str, spaced: bool, end_id: int, block_ids: int) -> DataFrame:
-    """Lots of documents with their ids, one or more per range of doc_id."""
+    """Lots of documents with their ids, one or more per range of doc_id, and a row of counts per task."""
+    narrow = "<u2" if tokens.largest_id(path) < 1 << 16 and end_id < 1 << 16 else "<u4"
 
     def make(schema: pa.Schema):
-        def lot(shard, block, doc_ids, parts):
+        def row(shard, **values):
+            return batch_of(schema, {"shard": [shard]} | {f: [values.get(f)] for f in schema.names[1:]})
+
+        def lot(shard, block, doc_ids, parts, ids):
             counts = np.array([len(p) for p in parts], "<u4")
             nulls = np.array([d is None for d in doc_ids], np.uint8)
             known = np.array([0 if d is None else d for d in doc_ids], "<i8")
-            row = {"shard": [shard], "block": [block], "nulls": [nulls.tobytes()], "doc_ids": [known.tobytes()],
-                   "counts": [counts.tobytes()], "ids": [np.concatenate(parts).astype("<u4").tobytes()]}
-            return batch_of(schema, row)
+            return row(shard, block=block, nulls=nulls.tobytes(), doc_ids=known.tobytes(), counts=counts.tobytes(), ids=ids.tobytes())
 
         def run(batches: Iterator[pa.RecordBatch]):
             encode = tokens.encoder(path, spaced).encode
             end = np.array([end_id], "<u4")
+            seen = np.zeros(1 << 16, np.int64)
             shard, block, doc_ids, parts, held = partition_id(), 0, [], [], 0
+
+            def close():
+                nonlocal seen, block, doc_ids, parts, held
+                ids = np.concatenate(parts).astype(narrow)
+                found = np.bincount(ids, minlength=len(seen))
+                found[: len(seen)] += seen
+                out = lot(shard, block, doc_ids, parts, ids)
+                seen, block, doc_ids, parts, held = found, block + 1, [], [], 0
+                return out
+
             for batch in batches:
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                     parts.append(np.concatenate((encode(text.as_py()), end)))
                     doc_ids.append(doc_id)
                     held += len(parts[-1])
                     if held >= block_ids:
-                        yield lot(shard, block, doc_ids, parts)
-                        block, doc_ids, parts, held = block + 1, [], [], 0
+                        yield close()
             if parts:
-                yield lot(shard, block, doc_ids, parts)
+                yield close()
+            if block:
+                yield row(shard, n_of_id=seen.astype("<i8").tobytes())
 
         return run
 
@@ -142,26 +158,20 @@ def _tokenized(docs: DataFrame, path: str, spaced: bool, end_id: int, block_ids:
     return map_batches(ordered, make, _LOTS)
 
 
-def _frequencies(lots: DataFrame) -> DataFrame:
-    """(id, n) over all lots: counted per task first, so the shuffle has a row per id and task."""
+def _frequencies(counts: DataFrame) -> DataFrame:
+    """(id, n): the counts of all tasks, added up."""
 
     def make(schema: pa.Schema):
         def run(batches: Iterator[pa.RecordBatch]):
-            total = np.zeros(0, np.int64)
             for batch in batches:
-                for ids in batch.column("ids"):
-                    seen = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
-                    if len(seen) > len(total):
-                        seen[: len(total)] += total
-                        total = seen
-                    else:
-                        total[: len(seen)] += seen
-            found = np.flatnonzero(total)
-            yield batch_of(schema, {"id": pa.array(found), "n": pa.array(total[found])})
+                for counts in batch.column("n_of_id"):
+                    n = np.frombuffer(counts.as_py(), "<i8")
+                    found = np.flatnonzero(n)
+                    yield batch_of(schema, {"id": pa.array(found), "n": pa.array(n[found])})
 
         return run
 
-    return map_batches(lots.select("ids"), make, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return map_batches(counts, make, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def _coded(lots: DataFrame, ids_by_rank: np.ndarray) -> DataFrame:
@@ -174,8 +184,9 @@ def _coded(lots: DataFrame, ids_by_rank: np.ndarray) -> DataFrame:
                 for row in batch.to_pylist():
                     doc_ids = np.frombuffer(row["doc_ids"], "<i8").tolist()
                     doc_ids = [None if gone else d for gone, d in zip(row["nulls"], doc_ids, strict=True)]
-                    ranks = rank_of[np.frombuffer(row["ids"], "<u4")]
                     counts = np.frombuffer(row["counts"], "<u4")
+                    kind = "<u2" if 2 * int(counts.sum()) == len(row["ids"]) else "<u4"
+                    ranks = rank_of[np.frombuffer(row["ids"], kind)]
                     block = pack_block(row["shard"], row["block"], doc_ids, counts, ranks)
                     yield batch_of(schema, {"shard": [row["shard"]], "block": [block]})
 
@@ -201,21 +212,22 @@ def write(
     spark = docs.sparkSession
     lots = cut(_tokenized(docs, vocabulary or tokens.byte_vocabulary(), spaced, end_id, block_ids))
     # As many rows as the vocabulary has ids.
-    counted = _frequencies(lots).collect()
+    counted = _frequencies(lots.where("n_of_id is not null").select("n_of_id")).collect()
     ranked = np.array([r["id"] for r in sorted(counted, key=lambda r: (-r["n"], r["id"]))], "<u4")
     # Spark's text files take bytes as they are and commit whole tasks; the line feed ends a block.
-    coded = _coded(lots, ranked)
+    coded = _coded(lots.where("n_of_id is null").drop("n_of_id"), ranked)
     coded.select("shard", F.col("block").cast("string").alias("value")).write.partitionBy("shard").text(f"{path}/ids")
     table = pack_block(0, 0, [0], np.array([len(ranked)]), ranked)
     row = spark.createDataFrame([(bytearray(table),)], "block binary")
     row.select(F.col("block").cast("string").alias("value")).coalesce(1).write.text(f"{path}/ranks")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, block, seq, doc_id, ids): all documents of the files; ids are unsigned 32-bit."""
+def _decoded(spark: SparkSession, path: str, last: str, of: Callable[[np.ndarray], object]) -> DataFrame:
+    """(shard, block, seq, doc_id, n_tokens) of all documents, and what ``of`` makes of their ids."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
     (table,) = (bytes(r["content"]) for r in files.load(f"{path}/ranks").select("content").collect())
     ids_by_rank = next(iter(unpack_blocks(table)))[4]
+    name = last.split()[0]
 
     def make(schema: pa.Schema):
         def run(batches: Iterator[pa.RecordBatch]):
@@ -224,32 +236,30 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     for shard, block, doc_ids, counts, ranks in unpack_blocks(content.as_py()):
                         ids, n = ids_by_rank[ranks], len(doc_ids)
                         ends = np.cumsum(counts, dtype=np.int64)
-                        parts = [ids[e - c : e].tobytes() for e, c in zip(ends, counts, strict=True)]
+                        parts = [of(ids[e - c : e]) for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
                         yield batch_of(
                             schema,
-                            {"shard": [shard] * n, "block": [block] * n, "seq": list(range(n)), "doc_id": doc_ids, "ids": parts},
+                            {"shard": [shard] * n, "block": [block] * n, "seq": list(range(n)), "doc_id": doc_ids,
+                             "n_tokens": counts.tolist(), name: parts},
                         )
 
         return run
 
-    # No shard: the corpus was empty, and there is nothing to list.
-    schema = "shard int, block int, seq int, doc_id long, ids binary"
-    if not ids_by_rank.size:
+    schema = f"shard int, block int, seq int, doc_id long, n_tokens long, {last}"
+    if not ids_by_rank.size:  # the corpus was empty, and there is nothing to list
         return spark.createDataFrame([], schema)
     content = files.option("recursiveFileLookup", "true").load(f"{path}/ids").select("content")
     return map_batches(content, make, schema)
 
 
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, block, seq, doc_id, n_tokens, ids): all documents of the files; ids are unsigned 32-bit."""
+    return _decoded(spark, path, "ids binary", lambda ids: ids.tobytes())
+
+
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of all documents, read back from the files."""
-    decoded = read(spark, path)
-    rows = cut(
-        decoded.select(
-            "shard", "block", "seq", "doc_id",
-            (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-            F.crc32("ids").alias("ids_crc32"),
-        )
-    )
+    rows = cut(_decoded(spark, path, "ids_crc32 long", lambda ids: zlib.crc32(ids.tobytes())))
     blocks = rows.groupBy("shard", "block").agg(F.sum("n_tokens").alias("n"))
     shards = blocks.groupBy("shard").agg(F.sum("n").alias("n"))
     total = lambda over: F.coalesce(F.sum("n").over(over), F.lit(0))

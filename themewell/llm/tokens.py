@@ -15,7 +15,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-REMEMBERED = 350_000  # words in each of two generations that a worker keeps, about 140 MB in all
+REMEMBERED = 300_000  # words in each of two generations that a worker keeps, about 120 MB in all
 LONGEST = 64  # longer ones are not kept
 END_ID = 2
 
@@ -23,6 +23,8 @@ END_ID = 2
 _INNER = re.compile(r"(?<=[A-Za-zß-öø-ÿ])(?=[!-&(-/:-@\[-`{-~\n])")
 _WORDS = re.compile(r"\s*\S+(?:(?! \S)\s+\S*)*")
 _TWO_SPACES = re.compile(r"\s\s")
+_RARE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_RARE_ASCII_SPACE = "\t\r\v\f\x1c\x1d\x1e\x1f"
 _ASCII_SPACE = re.compile("[ \t\n\v\f\r]+")
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
@@ -58,7 +60,6 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.spaced = spaced
         self.words = _Memory(self._word)
-        self.pieces = _Memory(self._piece)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids as unsigned 32-bit integers; none for a null or empty text."""
@@ -69,26 +70,36 @@ class WordEncoder:
     def _cut(self, text: str) -> list[str]:
         if not self.spaced:
             return _ASCII_SPACE.split(text)
-        if "\0" in text or text[0].isspace() or text[-1].isspace() or _TWO_SPACES.search(text):
+        if self._odd(text):
             return _WORDS.findall(text) or [text]
         return text.replace(" ", "\0 ").split("\0")
 
-    def _word(self, word: str) -> bytes:
-        pieces = _INNER.split(word)
-        return self.pieces[word] if len(pieces) == 1 else b"".join(map(self.pieces.__getitem__, pieces))
+    @staticmethod
+    def _odd(text: str) -> bool:
+        """Whether a space may lie beside white space or at an end, or the text has the sign used for cutting."""
+        if "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or "\0" in text:
+            return True
+        rare = any(c in text for c in _RARE_ASCII_SPACE) or (not text.isascii() and _RARE_SPACE.search(text))
+        return bool(rare) and _TWO_SPACES.search(text) is not None
 
-    def _piece(self, piece: str) -> bytes:
-        return array.array("I", self._ids(piece)).tobytes()
+    def _word(self, word: str) -> bytes:
+        if not (word[1:] if word[:1] == " " else word).isalpha():
+            pieces = _INNER.split(word)
+            if len(pieces) > 1:
+                return b"".join([self.words[p] for p in pieces])
+        return array.array("I", self._ids(word)).tobytes()
 
     def _ids(self, piece: str) -> list[int]:
-        space = self.spaced and piece[:1] == " "
+        if not piece:
+            return []
+        space = self.spaced and piece[0] == " "
         plain = piece[1:] if space else piece
-        if _LATIN.fullmatch(plain):  # one word for the patterns: only the merges are left
+        if plain.isalpha() and (plain.isascii() or _LATIN.fullmatch(plain)):  # one word for the patterns: only merges are left
             if not self.spaced:
-                piece = piece.lower()
-            symbols = piece if plain.isascii() and not space else piece.encode().decode("latin-1").translate(_SYMBOLS)
-            return [t.id for t in self.model.tokenize(symbols)]
-        return self.tokenizer.encode(piece, add_special_tokens=False).ids if piece else []
+                plain = plain.lower()
+            symbols = plain if plain.isascii() else plain.encode().decode("latin-1").translate(_SYMBOLS)
+            return [t.id for t in self.model.tokenize("Ġ" + symbols if space else symbols)]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
 
 
 _encoders: dict[tuple[str, bool], WordEncoder] = {}
@@ -107,3 +118,8 @@ def byte_vocabulary() -> str:
 
 def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+def largest_id(path: str) -> int:
+    """The largest id of a vocabulary file, its added tokens included."""
+    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) - 1
