@@ -390,13 +390,25 @@ start AS (
 pick AS (
   SELECT 1 AS step, [e] AS cs FROM start WHERE place = 1
   UNION ALL
-  SELECT step + 1, list_append(any_value(cs), arg_max(e, ln(draw) / gap))
+  SELECT step + 1, list_append(any_value(cs), arg_min(e, potential))
   FROM (
-    SELECT step, cs, e, list_min(list_transform(cs, lambda c: list_distance(c, start.e) ** 2)) AS gap,
-           (CAST('0x' || substr(md5('42:' || step || ':' || id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496 AS draw
-    FROM pick, start WHERE step < {max(ks)}
+    SELECT step, id, any_value(cs) AS cs, any_value(e) AS e, sum(least(gap, list_distance(e, other) ** 2)) AS potential
+    FROM (
+      SELECT c.step, c.id, c.cs, c.e, s.e AS other, list_min(list_transform(c.cs, lambda x: list_distance(x, s.e) ** 2)) AS gap
+      FROM start s, (
+        SELECT step, cs, id, e
+        FROM (
+          SELECT step, cs, id, e, place, list_min(list_transform(cs, lambda c: list_distance(c, start.e) ** 2)) AS gap,
+                 (CAST('0x' || substr(md5('42:' || step || ':' || id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496 AS draw
+          FROM pick, start WHERE step < {max(ks)}
+        )
+        WHERE gap > 0
+        QUALIFY row_number() OVER (ORDER BY ln(draw) / gap DESC, place) <= 8
+      ) c
+    )
+    GROUP BY step, id
   )
-  WHERE gap > 0 GROUP BY step
+  GROUP BY step
 ),
 moved AS (
   SELECT 0 AS step, k, list_slice((SELECT arg_max(cs, step) FROM pick), 1, k) AS cs
