@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -30,8 +30,20 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
+#: Rows of a batch where the session leaves Spark's own number: texts are long, and a batch is held several times.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's rows per Arrow batch to ``BATCH_ROWS``, unless they were chosen."""
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, make: Callable[[pa.Schema], Callable], schema: str) -> DataFrame:
     """``mapInArrow`` where ``make(schema)`` gives a function from batches to batches."""
+    bound_batches(df.sparkSession)
     spec = StructType.fromDDL(schema)
     wanted = arrow_schema(spec)
 

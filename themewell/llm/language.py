@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from themewell.llm.arrow import batch_of, map_batches
+from themewell.llm.arrow import batch_of, bound_batches, map_batches
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -36,7 +36,7 @@ EPOCHS = 6
 RATE = 0.5
 TARGET_ERROR = 0.01  # of what is accepted on the calibration rows
 MAX_REJECTED = 0.002  # of the calibration rows that are right
-REMEMBERED = 200_000  # words a worker keeps
+REMEMBERED = 100_000  # words a worker keeps
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -266,6 +266,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` with all their columns whose text is not rejected."""
+    bound_batches(docs.sparkSession)
     spec = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]):
