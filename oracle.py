@@ -565,18 +565,6 @@ def statements() -> dict[str, str]:
         "cluster_catalogue": f"WITH {_BY_LANGUAGE}, {_HASHED}, {_NEAR_DOCS}, {_TERMS}, {_CATALOGUE}",
         "kmeans_assign": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans([4])}
             SELECT id, 'kmeans' AS method, cluster_id FROM kmeans_labels""",
-        "k_search": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans(list(range(4, 71, 4)))},
-            apart AS (SELECT a.id, b.id AS other, list_distance(a.e, b.e) ** 2 AS d FROM dense a JOIN dense b ON a.id <> b.id),
-            sums AS (
-              SELECT mine.k, apart.id, mine.cluster_id AS own, theirs.cluster_id AS theirs, sum(d) AS d, count(*) AS n
-              FROM apart JOIN kmeans_labels mine ON mine.id = apart.id
-              JOIN kmeans_labels theirs ON theirs.id = other AND theirs.k = mine.k GROUP BY ALL
-            ),
-            near AS (SELECT k, id, min(d / n) AS b FROM sums WHERE own <> theirs GROUP BY ALL),
-            home AS (SELECT k, id, d / n AS a FROM sums WHERE own = theirs)
-            SELECT CAST(k AS INTEGER) AS k, count(*) AS n_scored, round(
-              avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
-            FROM near LEFT JOIN home USING (k, id) GROUP BY k""",
         "discover": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans([4])},
             assigned AS (SELECT docs.*, cluster_id FROM docs JOIN kmeans_labels ON id = doc_id),
             {_NEAR_DOCS}, {_TERMS}, {_CATALOGUE}""",
