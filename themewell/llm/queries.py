@@ -97,6 +97,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_OP2 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id, b.vec_id AS other FROM usable a JOIN usable b
+  ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT reached.vec_id, links.other FROM reached JOIN links ON links.vec_id = reached.other
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.vec_id = reached.vec_id) AS n_links,
+  min(other) AS component_id, vec_id = min(other) AS kept
+FROM reached GROUP BY vec_id
+"""
+
 #: CRC-32 by its public table: 8 steps of the reflected polynomial 0xEDB88320 for each of 256 bytes.
 _OP7 = """
 WITH crc_table AS (
@@ -128,4 +146,4 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_byte_prefix_shards": _OP7, "op8_grace_dedup": _OP8}
+    return {"op2_metric_range_join": _OP2, "op7_byte_prefix_shards": _OP7, "op8_grace_dedup": _OP8}
