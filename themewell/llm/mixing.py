@@ -178,14 +178,17 @@ def mix(docs: DataFrame, shards: int = 16, block_words: int = 8192, seed: int =
     its text is cut after the last word taken (``n_chars``, if there is such a
     column, then follows). Documents without words are not taken.
     """
-    key = "_mix_row"
-    while key in docs.columns:
+    key = "_mix"
+    while any(c.startswith(key) for c in docs.columns):
         key += "_"
-    # Numbers of rows hold only once written; the texts then join the plan by them.
-    rows = cut(docs.withColumn(key, F.monotonically_increasing_id()))
-    _, pieces = plan(rows, shards, block_words, seed, keys=(key,))
-    wanted = pieces.select(key, F.struct("size", "taken", "shard", "place", "pass").alias(key + "p"))
-    joined = rows.join(wanted, key)
+    # Rows are named by all they hold; rows that hold the same are interchangeable, so one of them stands for all.
+    own = [F.col(c) for c in docs.columns]
+    absent = [c.isNull() for c in own]
+    names = {key + "1": F.xxhash64(F.lit(1), *own, *absent), key + "2": F.xxhash64(F.lit(2), *own, *absent)}
+    named = docs.withColumns(names)
+    _, pieces = plan(named, shards, block_words, seed, keys=tuple(names))
+    wanted = pieces.select(*names, F.struct("size", "taken", "shard", "place", "pass").alias(key + "p"))
+    joined = named.dropDuplicates(list(names)).join(wanted, list(names))
     part = F.col(key + "p")
     short = part["taken"] < part["size"]
     changed = {"text": F.when(short, first_words(F.col("text"), part["taken"].cast("int"))).otherwise(F.col("text"))}
@@ -194,5 +197,5 @@ def mix(docs: DataFrame, shards: int = 16, block_words: int = 8192, seed: int =
         kind = docs.schema["n_chars"].dataType
         mixed = mixed.withColumn("n_chars", F.when(short, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     mixed = mixed.withColumns({key + "s": part["shard"], key + "o": part["place"], key + "q": part["pass"]})
-    order = [key + "s", key + "o", key, key + "q"]
+    order = [key + "s", key + "o", *names, key + "q"]
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
