@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+
+from samples import docs_of, none, odd  # noqa: F401
+
+import corpus_pipeline
+from themewell.llm import near_copies, simhash
+
+
+def jaccard(x, y, width=5):
+    a, b = (set(simhash.shingle_hashes(t, width).tolist()) for t in (x, y))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def pairs_around(rng, similarities, words=400):
+    """Pairs of texts whose last words differ, with about these similarities."""
+    out = []
+    for k, s in enumerate(similarities):
+        first = [f"p{k}w{i}" for i in rng.permutation(words)]
+        same = round((words - 4) * 2 * s / (1 + s)) + 4
+        out.append((" ".join(first), " ".join(first[:same] + [f"q{k}w{i}" for i in range(words - same)])))
+    return out
+
+
+def test_pairs_around_the_threshold_are_decided_exactly(spark, docs_of):
+    rng = np.random.default_rng(4)
+    pairs = pairs_around(rng, np.repeat([0.7, 0.75, 0.78, 0.79, 0.795, 0.805, 0.81, 0.82], 60))
+    rows = [(2 * k + i, t, "en", "a") for k, pair in enumerate(pairs) for i, t in enumerate(pair)]
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs_of(rows), "").collect()}
+    real = [jaccard(*p) for p in pairs]
+    assert min(abs(s - 0.8) for s in real) < 0.01
+    gone = [2 * k + 1 not in kept for k in range(len(pairs))]
+    assert all(2 * k in kept for k in range(len(pairs)))
+    assert not any(g for g, s in zip(gone, real, strict=True) if s < 0.8)
+    over = [g for g, s in zip(gone, real, strict=True) if s >= 0.8]
+    assert len(over) == 180 and sum(over) >= 178
+
+
+def test_missed_share_at_the_threshold():
+    rng = np.random.default_rng(6)
+    missed = 0
+    for x, y in pairs_around(rng, [0.801] * 1500, 200):
+        a, b = (near_copies.band_keys(np.unique(simhash.shingle_hashes(t, 5))) for t in (x, y))
+        missed += not any(i == j for i, j in zip(a, b, strict=True))
+    assert missed <= 8
+
+
+@pytest.mark.parametrize("members,shingles", [(4096, 1 << 21), (7, 1 << 21), (4096, 2000)])
+def test_groups_against_all_pairs(docs_of, monkeypatch, members, shingles):
+    monkeypatch.setattr(near_copies, "MEMBERS", members)
+    monkeypatch.setattr(near_copies, "SHINGLES", shingles)
+    rng = np.random.default_rng(9)
+    texts = []
+    for k in range(6):  # chains of texts, each a little further from the first
+        words = [f"c{k}w{i}" for i in range(150)]
+        for step in range(12):
+            texts.append(" ".join(words))
+            for at in rng.choice(150, int(rng.integers(1, 6)), replace=False):
+                words[at] = f"c{k}s{step}n{at}"
+    order = rng.permutation(len(texts))
+    rows = [(int(i), texts[j], "en", "a") for i, j in enumerate(order)]
+    near = np.array([[jaccard(x[1], y[1]) >= 0.8 for y in rows] for x in rows])
+    at = np.arange(len(rows))
+    for _ in rows:
+        at = np.minimum(at, np.where(near, at[None], len(rows)).min(1))
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs_of(rows)).collect()}
+    assert [got.get(i, i) for i in range(len(rows))] == at.tolist()
+
+
+def test_repeated_shingles_count_once(docs_of):
+    head = " ".join(f"h{i}" for i in range(60))
+    line = " ".join(f"l{i}" for i in range(8))
+    rows = [(1, head + f" {line} {line}", "en", "a"), (2, head + f" {line}" * 60, "en", "a")]
+    assert jaccard(rows[0][1], rows[1][1]) == 1.0
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs_of(rows)).collect()} == {1: 1, 2: 1}
+
+
+def test_odd_rows(odd, none):
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(odd).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    assert near_copies.near_copies(none).collect() == []
