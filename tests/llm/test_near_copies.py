@@ -79,3 +79,16 @@ def test_odd_rows(odd, none):
     got = {r.doc_id: r.component_id for r in near_copies.near_copies(odd).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
     assert near_copies.near_copies(none).collect() == []
+
+
+def test_links_do_not_depend_on_the_size_of_the_table(spark, docs_of):
+    rng = np.random.default_rng(12)
+    pairs = pairs_around(rng, np.repeat([0.7, 0.75, 0.79, 0.81], 40), 120)
+    rows = [(2 * k + i, t, "en", "a") for k, pair in enumerate(pairs) for i, t in enumerate(pair)]
+    others = [(1000 + k, f"other {k}", "en", "a") for k in range(70_000)]
+    alone, among = (
+        {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs_of(x), "").collect() if r.doc_id < 1000}
+        for x in (rows, rows + others)
+    )
+    assert alone == among
+    assert simhash.similarity_settings(100) == simhash.similarity_settings(100_000_000)

@@ -31,6 +31,7 @@ from themewell.session import cut
 
 SEED = 42
 MEMBERS = 4096  # fingerprints of one table entry that meet in one tile
+SEGMENT = 16  # bits of a segment in similarity_settings
 _BLOCK = 1 << 16  # shingles whose bits are counted at a time
 
 
@@ -286,12 +287,14 @@ def similarity_settings(n_docs: int, similarity: float = 0.8, miss: float = 0.04
     """Settings that link texts whose shingle sets have this Jaccard similarity.
 
     The share of differing bits is the angle between the shingle counts over pi.
-    The radius is that share and one standard deviation. A segment has as many
-    bits as it takes to tell ``n_docs`` apart, and there are so many segments that
-    all but ``miss`` of the pairs at the threshold share a ball (nearer ones more).
+    The radius is that share and one standard deviation. There are so many
+    segments that all but ``miss`` of the pairs at the threshold share a ball
+    (nearer ones more). ``n_docs`` changes nothing: the same two texts are linked
+    or not in tables of any size. Links are not checked against the texts;
+    ``near_copies`` does that.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    size = max(16, math.ceil(math.log2(max(n_docs, 2))))
+    size = SEGMENT
     close = (1 - share) ** size + size * share * (1 - share) ** (size - 1)
     segments = math.ceil(math.log(miss) / math.log(1 - close))
     n_words = math.ceil(segments * size / 64)
