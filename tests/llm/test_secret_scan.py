@@ -92,3 +92,24 @@ def test_odd_rows(odd, none):
     assert len(rows) == len(ODD) and {r.spans for r in rows} == {""}
     assert {r.base_sha256 for r in rows} == {hashlib.sha256(b"").hexdigest()}
     assert secret_scan.scan(none).collect() == []
+
+
+def test_keys_in_paths_and_urls_are_tested_alone(docs_of):
+    url = "https://api.host.io/v1/my-app/9f8Ksd83jfKLs92kfjD83kdQ0aZ"
+    assert "9f8Ksd83jfKLs92kfjD83kdQ0aZ" in [url[a:b] for a, b in secret_scan.candidates(url, [])]
+    assert all(secret_scan.infer(url[a:b]) for a, b in secret_scan.candidates(url, []))
+    rng = np.random.default_rng(7)
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    words = ["water", "Tree", "under", "the", "lightning", "of", "houses", "and", "wandering", "mountain", "river", "stone"]
+    heads = ["https://api.host.io/v1/my-app/", "/usr/local/share/data_files/", "see https://host.io/wandering/mountain/"]
+    rows, keys = [], {}
+    for i in range(150):
+        keys[i] = "".join(rng.choice(alphabet, 32))
+        rows.append((i, f"{' '.join(rng.choice(words, 80))} {heads[i % 3]}{keys[i]} {' '.join(rng.choice(words, 30))}", "en", "a"))
+    got = {r.doc_id: r for r in secret_scan.scan(docs_of(rows)).collect()}
+    found = 0
+    for i, text, *_ in rows:
+        spans = [s.split(":") for s in filter(None, got[i].spans.split(","))]
+        assert len(spans) == got[i].n_random <= 1
+        found += any(keys[i] in text[int(a) : int(b)] for _, a, b in spans)
+    assert found >= 130

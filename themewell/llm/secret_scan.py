@@ -1,8 +1,9 @@
 """Secret scan: known forms, and a battery of randomness tests with false-discovery control.
 
 Known forms are assignments to telling names, access keys and long hex runs.
-Further long runs of code characters are candidates. For each the encoding is
-inferred, and the symbols are tested for uniformity of the alphabet
+Further long runs of code characters are candidates, and so are their parts between
+slashes, dashes and the like, as keys stand in paths and URLs. A part is reported if
+no longer candidate around it is. For each the encoding is inferred, and the symbols are tested for uniformity of the alphabet
 (chi-squared), for runs above and below the middle of the alphabet and for serial
 correlation; Fisher's method combines the three chances.
 
@@ -42,7 +43,8 @@ _NAMES = ("passw", "secret", "token", "api")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=.-]{16,}")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
-_CODE = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}={{0,2}}")
+#: Whole runs, and their parts between slashes, dashes and the like.
+_CODES = [re.compile(rf"[A-Za-z0-9{signs}]{{{SHORTEST},}}={{0,2}}") for signs in ("+/_-", "")]
 _PLAIN = re.compile(r"[A-Za-z0-9]+")
 
 #: Alphabets in the order in which they are tried; symbols in the order of their values.
@@ -151,14 +153,14 @@ def length_class(n: int) -> int:
 
 
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of code characters beside the known spans."""
-    out = []
+    """Runs of code characters beside the known spans that an alphabet holds, and the parts of all runs; parts lie in others."""
+    out = set()
     for run in _RUN.finditer(text):
-        for m in _CODE.finditer(run[0]):
+        for m in (m for code in _CODES for m in code.finditer(run[0])):
             start, end = run.start() + m.start(), run.start() + m.end()
-            if not any(s < end and start < e for s, _, e in known):
-                out.append((start, end))
-    return out
+            if infer(m[0]) is not None and not any(s < end and start < e for s, _, e in known):
+                out.add((start, end))
+    return sorted(out)
 
 
 def decoys(text: str, start: int, end: int, taken: list[tuple[int, int]], count: int = DECOYS) -> list[str]:
@@ -251,7 +253,9 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     odd = found.select(F.explode("decoys").alias("d")).groupBy("d").count().collect()
     false = {divmod(r["d"], BINS): r["count"] for r in odd}
     least = F.array(*[F.lit(b) for b in thresholds(targets, false, rate)])
-    taken = F.filter("more", lambda m: m["bin"] >= least[m["class"]])
+    passed = F.filter("more", lambda m: m["bin"] >= least[m["class"]])
+    around = lambda m: lambda x: (x["start"] <= m["start"]) & (x["end"] >= m["end"]) & (x["end"] - x["start"] > m["end"] - m["start"])
+    taken = F.filter(passed, lambda m: ~F.exists(passed, around(m)))
     plain = F.transform(taken, lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     names = F.array(*[F.lit(k) for k in KINDS])
     spans = F.transform(
