@@ -113,3 +113,40 @@ def test_keys_in_paths_and_urls_are_tested_alone(docs_of):
         assert len(spans) == got[i].n_random <= 1
         found += any(keys[i] in text[int(a) : int(b)] for _, a, b in spans)
     assert found >= 130
+
+
+def random_spans(docs):
+    return sum(r.n_random for r in secret_scan.scan(docs).collect())
+
+
+def test_clean_documents_with_few_words_report_nothing(docs_of):
+    rng = np.random.default_rng(8)
+    words = ["water", "tree", "under", "the", "lightning", "of", "houses", "and", "wandering", "mountain", "river", "stone"]
+    path = lambda n: "/".join(rng.choice(words, n))
+    digits = lambda n: "".join(rng.choice(list("0123456789"), n))
+    short = [(i, f"https://{path(5)}", "en", "a") for i in range(80)]
+    other = [(i, f"река и камень {path(6)} под водой {digits(26)}", "ru", "a") for i in range(80)]
+    blobs = [(i, f"see {path(60)} there", "en", "a") for i in range(80)]
+    english = [(1000 + i, " ".join(rng.choice(words, 80)), "en", "a") for i in range(20)]
+    for rows in (short, other, blobs, short + english, other + english, blobs + english):
+        assert random_spans(docs_of(rows, 1)) <= 2, rows[0]
+
+
+def test_keys_are_found_where_only_other_documents_have_words(docs_of):
+    rng = np.random.default_rng(9)
+    alphabet = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    words = ["water", "tree", "under", "the", "lightning", "of", "houses", "and", "wandering", "mountain", "river", "stone"]
+    rows = [(i, f"ключ {''.join(rng.choice(alphabet, 40))} здесь", "ru", "a") for i in range(60)]
+    rows += [(1000 + i, " ".join(rng.choice(words, 80)), "en", "a") for i in range(20)]
+    got = {r.doc_id: r.n_random for r in secret_scan.scan(docs_of(rows, 1)).collect()}
+    assert sum(got[i] == 1 for i in range(60)) >= 50
+    assert not any(got[1000 + i] for i in range(20))
+
+
+def test_decoys_that_were_made_are_what_counts():
+    # Two decoys for 40 candidates tell nothing of one in twenty; none tell nothing at all.
+    assert secret_scan.thresholds({(5, 0): 40}, {(5, 0): 2})[5] == secret_scan.BINS
+    assert secret_scan.thresholds({(5, 30): 40}, {(5, 0): 2})[5] == secret_scan.BINS
+    assert secret_scan.thresholds({(5, 30): 400}, {})[5] == secret_scan.BINS
+    assert secret_scan.thresholds({(5, 30): 40}, {(5, 0): 320})[5] <= 30
+    assert len(secret_scan.decoys("x", 0, 1, [], others=lambda: "abcdefghij")) == 8

@@ -9,8 +9,9 @@ correlation; Fisher's method combines the three chances.
 
 What ordinary text would score is measured on the same corpus: for each
 candidate, decoys of its length are put together from the letters and digits of
-its own document around it. In each class of lengths the mildest threshold is
-taken at which decoys are no more than a given share of the candidates. Only
+its own document around it, and of other documents where it has too few. In each
+class of lengths the mildest threshold is taken at which decoys, scaled by the
+number that was made, are no more than a given share of the candidates. Only
 counts by class and score leave the tasks for that.
 """
 
@@ -19,7 +20,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,8 @@ from themewell.session import cut
 
 KINDS = ("assign", "access", "hex", "random")
 SHORTEST = 20  # characters of a candidate
-DECOYS = 8  # per candidate
+DECOYS = 8  # per candidate, as far as there are words
+SPARE = 1 << 18  # characters of words that a task keeps for texts with too few
 RATE = 0.05  # false discoveries among what is reported beside the known forms
 BINS = 64  # steps of the score, from chances of 1e-16 to 1
 LENGTHS = (20, 24, 32, 48, 64, 128)  # lower ends of the classes of lengths
@@ -163,23 +166,74 @@ def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int,
     return sorted(out)
 
 
-def decoys(text: str, start: int, end: int, taken: list[tuple[int, int]], count: int = DECOYS) -> list[str]:
-    """Strings as long as the candidate, from the words of ``text`` outside of ``taken``, from different places."""
-    need = end - start
-    # Words from around the candidate on, going round at the end of the text.
+def _spare_words(text: str, low: int, high: int, taken: list[tuple[int, int]], need: int) -> list[str]:
+    """Words of ``text`` between ``low`` and ``high`` and outside of ``taken``, until there are ``need`` characters."""
     words: list[str] = []
     have = 0
-    for low, high in ((end, len(text)), (0, start)):
-        for m in _PLAIN.finditer(text, low, high):
-            if len(m[0]) < SHORTEST and not any(s < m.end() and m.start() < e for s, e in taken):
-                words.append(m[0])
-                have += len(m[0])
-                if have >= need * count:
-                    break
-        if have >= need * count:
+    for m in _PLAIN.finditer(text, low, high):
+        if have >= need:
             break
-    joined = "".join(words)
-    return [joined[i * need : (i + 1) * need] for i in range(min(count, len(joined) // need))]
+        if len(m[0]) < SHORTEST and not any(s < m.end() and m.start() < e for s, e in taken):
+            words.append(m[0])
+            have += len(m[0])
+    return words
+
+
+def decoys(
+    text: str, start: int, end: int, taken: list[tuple[int, int]], count: int = DECOYS, others: Callable[[], str] = str
+) -> list[str]:
+    """Strings as long as the candidate, from the words of ``text`` outside of ``taken``, from different places.
+
+    Slashes, dashes and the like stand where the candidate has them, so that paths are held against words in paths.
+    Where these are too few, ``others()`` gives letters and digits of other texts.
+    """
+    need = end - start
+    # Words from around the candidate on, going round at the end of the text.
+    joined = "".join(_spare_words(text, end, len(text), taken, need * count))
+    joined += "".join(_spare_words(text, 0, start, taken, need * count - len(joined)))
+    if len(joined) < need * count and (more := others()):
+        at = zlib.crc32(text[start:end].encode("utf-8", "surrogatepass")) % len(more)
+        joined += (more[at:] + more[:at])[: need * count - len(joined)]
+    signs = [(i, c) for i, c in enumerate(text[start:end]) if not c.isalnum()]
+    out = []
+    for at in range(0, min(count, len(joined) // need) * need, need):
+        made = list(joined[at : at + need])
+        for i, c in signs:
+            made[i] = c
+        out.append("".join(made))
+    return out
+
+
+class _Spare:
+    """The different words of the texts of a batch and of earlier ones, joined; read when first asked for.
+
+    Each word stands once: a few that come again and again would make decoys that no test takes for random.
+    """
+
+    def __init__(self) -> None:
+        self.texts: pa.Array | None = None
+        self.words: dict[str, None] = {}
+        self.joined = ""
+
+    def add(self, texts: pa.Array) -> None:
+        self.texts = texts
+
+    def __call__(self) -> str:
+        if self.texts is not None:
+            words, have = {}, 0
+            for t in self.texts:
+                text = t.as_py() or ""
+                known = known_spans(text)
+                taken = [(s, e) for s, _, e in known] + candidates(text, known)
+                new = dict.fromkeys(w for w in _spare_words(text, 0, len(text), taken, SPARE) if w not in words)
+                words |= new
+                have += sum(map(len, new))
+                if have >= SPARE:
+                    break
+            self.joined = "".join(words | self.words)[:SPARE]
+            self.words = words
+            self.texts = None
+        return self.joined
 
 
 # ---- the scan ---------------------------------------------------------------
@@ -193,7 +247,7 @@ _FOUND = (
 
 def _scanned(docs: DataFrame) -> DataFrame:
     def make(schema: pa.Schema):
-        def one(doc_id, text):
+        def one(doc_id, text, spare):
             known = known_spans(text)
             found = candidates(text, known)
             taken = [(s, e) for s, _, e in known] + found
@@ -202,16 +256,18 @@ def _scanned(docs: DataFrame) -> DataFrame:
                 kind = length_class(end - start)
                 b = score_bin(combined(text[start:end]))
                 more.append({"start": start, "kind": 3, "end": end, "class": kind, "bin": b})
-                odd += [kind * BINS + score_bin(combined(d)) for d in decoys(text, start, end, taken)]
+                odd += [kind * BINS + score_bin(combined(d)) for d in decoys(text, start, end, taken, others=spare)]
             counts = [sum(k == i for _, k, _ in known) for i in range(3)]
             digest = hashlib.sha256(shown(known).encode()).hexdigest()
             base = [{"start": s, "kind": k, "end": e} for s, k, e in known]
             return doc_id, *counts, digest, base, more, odd
 
         def run(batches: Iterator[pa.RecordBatch]):
+            spare = _Spare()
             for batch in batches:
                 texts = batch.column("text")
-                rows = [one(i, t.as_py() or "") for i, t in zip(batch.column("doc_id").to_pylist(), texts, strict=True)]
+                spare.add(texts)
+                rows = [one(i, t.as_py() or "", spare) for i, t in zip(batch.column("doc_id").to_pylist(), texts, strict=True)]
                 yield batch_of(schema, {f.name: [r[k] for r in rows] for k, f in enumerate(schema)})
 
         return run
@@ -222,16 +278,18 @@ def _scanned(docs: DataFrame) -> DataFrame:
 def thresholds(targets: dict[tuple[int, int], int], false: dict[tuple[int, int], int], rate: float = RATE) -> list[int]:
     """Least bin to report for each class of lengths (BINS: none).
 
-    Decoys at or above a bin, divided by their number per candidate and one more
-    to be safe, estimate the false candidates there.
+    Decoys at or above a bin and one more to be safe, times the candidates for each
+    decoy that was made, estimate the false candidates there. Without decoys
+    nothing is reported, and the lowest bin, where no test ran or all failed, never is.
     """
     out = []
     for kind in range(len(LENGTHS)):
         best, t, f = BINS, 0, 0
-        for b in range(BINS - 1, -1, -1):
+        total, made = (sum(n for (k, _), n in x.items() if k == kind) for x in (targets, false))
+        for b in range(BINS - 1, 0, -1):
             t += targets.get((kind, b), 0)
             f += false.get((kind, b), 0)
-            if t and (f + 1) / DECOYS <= rate * t:
+            if t and made and (f + 1) * total / made <= rate * t:
                 best = b
         out.append(best)
     return out
@@ -243,7 +301,7 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     Spans are ``kind:start:end`` in code points, end exclusive, by start, then
     kind, joined by commas; ``base_sha256`` is over those of the known forms.
     ``rate`` bounds the share of false ones among the added spans of each class of
-    lengths; with few candidates none may be added. Null and empty texts have no
+    lengths; with few candidates, or few words to make decoys of, none may be added. Null and empty texts have no
     spans, repeated rows equal ones, null ids are kept; other columns are not read.
     """
     found = cut(_scanned(docs))
