@@ -83,3 +83,34 @@ def test_odd_rows(odd, none):
     assert P.pseudonymize(none, KEY).collect() == []
     with pytest.raises(ValueError):
         P.pseudonymize(odd, b"short")
+
+
+WHOLE = {
+    "date": ["1984-03-12T10:30:00Z", "2001-12-31T2359", "1999-01-01T00:00:00+02:00"],
+    "iban": ["TR330006100519786457841326", "EE382200221020145685", "LT121000011101001000", "LV80BANK0000435195001", "SI56263300012039086",
+             "HR1210010051863000160", "BG80BNBG96611020345678", "CY17002001280000001200527600", "MT84MALT011000012345MTLCAST001S",
+             "IS140159260076545510730339", "LI21088100002324013AA", "AE070331234567890123456", "SA0380000000608010167519",
+             "BR1800360305000010009795493C1"],
+    "phone": ["020 7946 0958", "06 12 34 56 78", "01632 960 001", "030/1234567", "(020) 7946 0958", "02 555 12 12", "01 23 45 67 89", "0171.123.4567"],
+}
+
+
+@pytest.mark.parametrize("kind,value", [(k, v) for k, vs in WHOLE.items() for v in vs])
+def test_timestamps_other_countries_and_national_numbers(kind, value):
+    text = f"so {value}, yes"
+    new, spans = P.replace(text, KEY)
+    assert [k for _, _, k in spans] == [kind] and new != text
+    start, end, _ = spans[0]
+    assert (start, end) == (3, 13 if kind == "date" else 3 + len(value))
+    assert len(new) == len(text) and new[end:] == text[end:] and P.replace(new, KEY, back=True)[0] == text
+
+
+def test_national_numbers_permute_among_themselves():
+    values = [f"0{n} {m:03d} 45 67" for n in range(1, 10) for m in range(0, 1000, 37)]
+    image = [P.pseudonym("phone", v, KEY) for v in values]
+    assert len(set(image)) == len(values) and all(P.find(v) == [(0, len(v), "phone")] for v in image)
+    shaped = [f"0{n} {m} 8901 {x}" for n in range(123, 133) for m in range(4000, 4010) for x in ("2", "23", "2345")]
+    for v in [*shaped, "06 12 34 56 78 2024", "020 7946 0958 12345678", "01 2345 6789 0123 4"]:
+        assert P.replace(P.replace(v, KEY)[0], KEY, back=True)[0] == v
+    for text in ("0.12 0.345 0.6789", "001 002 003 004", "1984-03-12Tuesday"):
+        assert P.replace(text, KEY) == (text, [])

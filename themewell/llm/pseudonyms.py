@@ -28,10 +28,17 @@ KINDS = ("email", "iban", "card", "ssn", "ip", "date", "phone")  # in order of p
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2099, 12, 31).toordinal() - FIRST_DAY + 1
 
-#: Length of an IBAN by country; fixed values.
+#: Length of an IBAN by country: the registry; fixed values.
 IBAN_LENGTHS = {
-    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27,
-    "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SK": 24,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30,
 }
 
 
@@ -201,15 +208,33 @@ def _written(day: int, order: str, sign: str, padded: bool, key: bytes, back: bo
 
 
 def phone(text: str, key: bytes, back: bool = False) -> str | None:
-    """10 to 15 digits, written as a phone number; a country code before the first space or sign stays."""
+    """10 to 15 digits, written as a phone number; a country code before the first space or sign stays.
+
+    So does the leading 0 of a national number in groups, which may have 9 digits if these are not parted by dashes.
+    """
     digits = _digits(text)
-    if not 10 <= len(digits) <= 15 or not (text[0] in "+(" or re.search(r"\d[ .-]\d", text)):
+    national = not _AMERICAN.fullmatch(text) and re.match(r"\(?0[1-9]", text)
+    least = 9 if national and "-" not in text else 10
+    if not least <= len(digits) <= 15 or not (text[0] in "+(" or re.search(r"\d[ ./-]\d", text)):
         return None
+    if national:
+        return _national(text, digits, key, back)
     code = len(m[1]) if (m := re.match(r"\+(\d{1,3})[^\d]", text)) else 0
     kept, rest = digits[:code], digits[code:]
     return _respaced(text, kept + permute_digits(rest, key, b"phone" + kept.encode(), back))
 
 
+def _national(text: str, digits: str, key: bytes, back: bool) -> str:
+    """The digit after the 0 is never 0; walks on until no part of the new number can be read as a card."""
+    low = 10 ** (len(digits) - 2)
+    value = int(digits) - low
+    while True:
+        value = permute(value, 9 * low, key, b"national", back)
+        new = _respaced(text, f"0{value + low}")
+        if all(card(m[0], key) is None for m in _FORMS["card"].finditer(new)):
+            return new
+
+
 def email(text: str, key: bytes, back: bool = False) -> str | None:
     """Name and domain are permuted by characters, the last label stays."""
     name, domain = text.rsplit("@", 1)
@@ -223,6 +248,7 @@ _VALUE: dict[str, Callable[..., str | None]] = {
 }
 _IBAN_START = re.compile("[A-Z]{2}[0-9]{2}")
 _NUMBERS = re.compile(r"[+(]?[0-9][0-9 ().+/-]{5,}[0-9]")
+_AMERICAN = re.compile(r"\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}")
 _FORMS = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}"),
     "iban": re.compile(
@@ -236,10 +262,16 @@ _FORMS = {
     "card": re.compile(r"(?<![0-9A-Za-z.])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])"),
     "ssn": re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
     "ip": re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"),
-    "date": re.compile(r"(?<![0-9A-Za-z./-])(?:[0-9]{4}([-./])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\2[0-9]{4})(?![0-9A-Za-z]|[./-][0-9])"),
+    "date": re.compile(
+        r"(?<![0-9A-Za-z./-])(?:[0-9]{4}([-./])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\2[0-9]{4})"
+        r"(?:(?=T[0-9]{2}:?[0-9]{2})|(?![0-9A-Za-z]|[./-][0-9]))"
+    ),
     "phone": re.compile(
         r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-        r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4})(?![0-9A-Za-z])"
+        r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}"
+        # National: 0, the rest of the area, and groups parted in one way; but not in the shape of a card.
+        r"|(?![0-9]{4}([ -])(?:[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{6}\2[0-9]{5})(?![0-9]))0[1-9][0-9]{0,4}([ .-])[0-9]{2,8}(?:\3[0-9]{2,4}){0,4}|0[1-9][0-9]{0,4}/[0-9]{3,8}"
+        r"|\(0[1-9][0-9]{0,4}\) ?[0-9]{3,8}(?:[ .-][0-9]{2,4}){0,3})(?![0-9A-Za-z])"
     ),
 }
 
