@@ -68,3 +68,48 @@ def test_mixed_texts(docs_of, odd, none):
         originals.setdefault(i, set()).add(t)
     assert all(any(o and o.startswith(r.text) for o in originals[r.doc_id]) and len(r.text) == r.n_chars for r in got)
     assert mixing.mix(none).collect() == [] and mixing.plan(none)[0].collect() == []
+
+
+def test_recipe_in_groups_meets_targets_and_shares(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 10)
+    rng = np.random.default_rng(6)
+    rows = [(i, "w " * int(rng.pareto(1.0) * 20 % 3000), "en", None if i % 50 == 0 else f"s{i % 50:02d}") for i in range(400)]
+    docs = docs_of(rows)
+    sized = docs.selectExpr("source", "size(array_remove(split(text, ' '), '')) size")
+    lines = sorted(mixing.recipe(sized, 4, 50, 1)[0].collect(), key=lambda r: r["rank"])
+    names = [f"s{i:02d}" for i in range(1, 50)] + [None]
+    assert [(r["name"], r["rank"]) for r in lines] == list(zip(names, range(50), strict=True))
+    sizes = [sum(len(t.split()) for _, t, _, s in rows if s == n) for n in names]
+    assert [r["target"] for r in lines] == mixing.targets(sizes, [(5, 2, 1)[i % 3] for i in range(50)])
+    assert [r["base"] for r in lines] == [sum(r["passes"] * r["source_size"] for r in lines[:i]) for i in range(50)]
+    bounds = np.array([r["bounds"] for r in lines])
+    assert bounds[:, -1].tolist() == [r["blocks"] for r in lines] and (np.diff(bounds, axis=1) >= 0).all()
+    total = np.diff(bounds, axis=1).sum(0)
+    assert total.max() - total.min() <= 2
+    documents, pieces = mixing.plan(docs, shards=4, block_words=50)
+    taken = pieces.groupBy("source").sum("taken").collect()
+    want = {r["name"]: r["quota"] for r in lines if r["quota"]}
+    assert {r[0]: r[1] for r in taken} == want and documents.count() == 400
+
+
+def test_groups_of_sources_draw_as_an_urn():
+    rng = np.random.default_rng(1)
+    first = []
+    for _ in range(3000):  # the groups first, then the sources of one of them
+        groups = mixing.split_quotas([50, 30], 4, rng)
+        one = mixing.split_quotas([20, 30], 4, rng, groups[:, 0].tolist())
+        assert one.sum(0).tolist() == [20, 30] and (one.sum(1) == groups[:, 0]).all()
+        first.append(one[0, 0])
+    mean, var = 20 * 20 / 80, 20 * (20 / 80) * (60 / 80) * (60 / 79)
+    assert abs(np.mean(first) - mean) < 0.15 and abs(np.var(first) - var) < 0.4
+
+
+def test_more_than_100_000_sources(spark):
+    docs = spark.range(100_500).selectExpr("id doc_id", "repeat('w ', int(id % 5)) text", "concat('host', id) source")
+    documents, pieces = mixing.plan(docs, block_words=64)
+    sizes = [int(name[4:]) % 5 for name in sorted(f"host{i}" for i in range(100_500))]
+    want = mixing.targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))])
+    assert documents.count() == 100_500
+    assert documents.groupBy().sum("taken").first()[0] == sum(map(round, want))
+    assert pieces.groupBy("shard").count().count() == 16

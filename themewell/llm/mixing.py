@@ -8,19 +8,22 @@ output shards: at each node the left half's counts are one draw from the
 multivariate hypergeometric distribution. Each shard then takes its own blocks of
 a permutation of the source's blocks and orders its documents at random.
 
-Only the recipe (one row per source) is on the driver; words, positions and
-blocks are columns.
+The recipe (one row per source), words, positions and blocks are columns. The tree
+first splits the block counts of groups of sources, on the driver, and then those
+of each group's sources, in tasks: what a shard takes of a group is given there.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from themewell.llm.arrow import batch_of, map_batches
 from themewell.llm.prefix import with_running_sums
 from themewell.session import cut
 
@@ -28,24 +31,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)  # by rank of the source, repeating
 SHARE = 1.5  # words of the mix per word of all sources
 MOST = 2  # times a document may be taken
-MAX_SOURCES = 100_000
+GROUP = 4096  # sources whose blocks are split in one task
+FEW_SOURCES = 20_000  # so many lines of the recipe are sent to all tasks, more are joined by shuffles
 MAX_BLOCKS = 1 << 28  # blocks get longer beyond this many, as the draws count in these
 
 
-@dataclass
-class Source:
-    """One line of the recipe; ``bounds[j]`` blocks go to shards before j."""
-
-    name: str | None
-    size: int
-    weight: float
-    target: float = 0.0
-    blocks: int = 0
-    multiplier: int = 1
-    shift: int = 0
-    bounds: tuple[int, ...] = ()
-
-
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
     """Words for each source: by weight, none above ``most`` times its size, the excess reshared by weight."""
     total = share * sum(sizes)
@@ -63,8 +53,8 @@ def targets(sizes: list[int], weights: list[float], share: float = SHARE, most:
             return [float(x) for x in limit]
 
 
-def split_quotas(blocks: list[int], shards: int, rng: np.random.Generator) -> np.ndarray:
-    """Counts (shard, source): rows as equal as can be in blocks, columns summing to ``blocks``."""
+def split_quotas(blocks: list[int], shards: int, rng: np.random.Generator, quotas: list[int] | None = None) -> np.ndarray:
+    """Counts (shard, source): columns summing to ``blocks``, rows to ``quotas``, or as equal as can be."""
     out = np.zeros((shards, len(blocks)), np.int64)
 
     def split(first: int, n: int, left: np.ndarray) -> None:
@@ -72,8 +62,8 @@ def split_quotas(blocks: list[int], shards: int, rng: np.random.Generator) -> np
             out[first] = left
             return
         half = n // 2
-        total = int(left.sum())
-        take = rng.multivariate_hypergeometric(left, total * half // n, method="marginals")
+        total = int(left.sum()) * half // n if quotas is None else sum(quotas[first : first + half])
+        take = rng.multivariate_hypergeometric(left, total, method="marginals")
         split(first, half, take)
         split(first + half, n - half, left - take)
 
@@ -82,23 +72,95 @@ def split_quotas(blocks: list[int], shards: int, rng: np.random.Generator) -> np
     return out
 
 
-def recipe(rows: list[tuple[str | None, int]], shards: int, block_words: int, seed: int, weights=WEIGHTS) -> list[Source]:
-    """The recipe of all sources, in order of code points, null last."""
-    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or ""))
-    out = [Source(n, int(s), weights[i % len(weights)]) for i, (n, s) in enumerate(ordered)]
-    for source, target in zip(out, targets([s.size for s in out], [s.weight for s in out]), strict=True):
-        source.target = target
-        source.blocks = math.ceil(round(target) / block_words)
-    rng = np.random.default_rng(seed)
-    quotas = split_quotas([s.blocks for s in out], shards, rng)
-    for i, source in enumerate(out):
-        source.bounds = tuple(np.concatenate(([0], np.cumsum(quotas[:, i]))).tolist())
-        if source.blocks > 1:
-            source.shift = int(rng.integers(source.blocks))
-            source.multiplier = int(rng.integers(1, source.blocks))
-            while math.gcd(source.multiplier, source.blocks) > 1:
-                source.multiplier = source.multiplier % source.blocks + 1
-    return out
+def _permutation(blocks: int, rng: np.random.Generator) -> tuple[int, int]:
+    """(multiplier, shift) of a permutation of the blocks."""
+    if blocks < 2:
+        return 1, 0
+    shift, multiplier = int(rng.integers(blocks)), int(rng.integers(1, blocks))
+    while math.gcd(multiplier, blocks) > 1:
+        multiplier = multiplier % blocks + 1
+    return multiplier, shift
+
+
+def _with_targets(lines: DataFrame) -> DataFrame:
+    """``lines`` (source_size, weight) with ``target``, as ``targets`` gives it.
+
+    Among sources of one weight the smaller are full first, so what is full is
+    told by the largest share offered to each weight; a round is one sum by weight.
+    """
+    total = None
+    offered: dict[float, float] = {}
+    while True:
+        share = F.lit(-1.0)
+        for w, x in offered.items():
+            share = F.when(F.col("weight") == w, F.lit(x)).otherwise(share)
+        full = F.col("source_size") * F.lit(MOST) <= share
+        sums = lines.groupBy("weight", full.alias("full")).agg(F.count("*").alias("n"), F.sum("source_size").alias("size")).collect()
+        total = SHARE * sum(r["size"] for r in sums) if total is None else total
+        limit = F.col("source_size") * F.lit(float(MOST))
+        open_weight = sum(r["weight"] * r["n"] for r in sums if not r["full"])
+        if not open_weight:
+            return lines.withColumn("target", limit)
+        rest = total - sum(MOST * r["size"] for r in sums if r["full"])
+        now = {r["weight"]: rest * r["weight"] / open_weight for r in sums}
+        target = F.lit(rest) * F.col("weight") / F.lit(open_weight)
+        if lines.where(~full & (target >= limit)).isEmpty():
+            return lines.withColumn("target", F.when(full, limit).otherwise(target))
+        offered = {w: max(x, offered.get(w, -1.0)) for w, x in now.items()}
+
+
+def _with_bounds(lines: DataFrame, shards: int, seed: int) -> DataFrame:
+    """``lines`` (rank, blocks) with multiplier, shift and bounds: ``bounds[j]`` blocks go to shards before j."""
+    lines = lines.withColumn("group", F.floor(F.col("rank") / F.lit(GROUP)).cast("long"))
+    # A row per group of GROUP sources.
+    groups = sorted((r["group"], r["blocks"]) for r in lines.groupBy("group").agg(F.sum("blocks").alias("blocks")).collect())
+    taken = split_quotas([n for _, n in groups], shards, np.random.default_rng([seed + 1, 1]))
+    quotas = [(g, taken[:, i].tolist()) for i, (g, _) in enumerate(groups)]
+    table = lines.sparkSession.createDataFrame(quotas, "group long, quotas array<long>")
+
+    def make(schema: pa.Schema):
+        def drawn(group: int, quotas: list[int], ranks: list[int], blocks: list[int]) -> pa.RecordBatch:
+            rng = np.random.default_rng([seed, group])
+            shares = split_quotas(blocks, shards, rng, quotas)
+            bounds = np.concatenate((np.zeros((1, len(blocks)), np.int64), shares.cumsum(axis=0))).T.tolist()
+            multipliers, shifts = zip(*(_permutation(n, rng) for n in blocks), strict=True)
+            return batch_of(schema, {"line": ranks, "multiplier": multipliers, "shift": shifts, "bounds": bounds})
+
+        def run(batches: Iterator[pa.RecordBatch]):
+            at, given, ranks, blocks = None, [], [], []
+            for batch in batches:
+                for row in batch.to_pylist():
+                    if row["group"] != at:
+                        if ranks:
+                            yield drawn(at, given, ranks, blocks)
+                        at, given, ranks, blocks = row["group"], row["quotas"], [], []
+                    ranks.append(row["rank"])
+                    blocks.append(row["blocks"])
+            if ranks:
+                yield drawn(at, given, ranks, blocks)
+
+        return run
+
+    dealt = lines.select("group", "rank", "blocks").join(table, "group").repartition("group").sortWithinPartitions("group", "rank")
+    found = map_batches(dealt, make, "line long, multiplier long, shift long, bounds array<long>")
+    return lines.drop("group").join(found, F.col("rank") == F.col("line")).drop("line")
+
+
+def recipe(sized: DataFrame, shards: int, block_words: int, seed: int) -> tuple[DataFrame, int, int]:
+    """The recipe of all sources, in order of code points, null last; the number of sources, and words of a block."""
+    known = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    known = known.select(F.col("source").alias("name"), "source_size", F.isnull("source").alias("null"), F.lit(1).alias("one"))
+    weights = F.array(*[F.lit(w) for w in WEIGHTS])
+    ranked = with_running_sums(known, ["null", "name"], ["one"]).withColumnRenamed("before_one", "rank")
+    ranked = cut(ranked.withColumn("weight", weights[F.col("rank") % F.lit(len(WEIGHTS))]).drop("null", "one"))
+    n, words = ranked.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    block_words = max(block_words, math.ceil(SHARE * words / MAX_BLOCKS))
+    lines = _with_targets(ranked).withColumn("quota", F.rint("target").cast("long"))
+    lines = lines.withColumn("blocks", F.ceil(F.col("quota") / F.lit(block_words)).cast("long"))
+    lines = lines.withColumn("passes", F.when(F.col("quota") > F.col("source_size"), 2).otherwise(1))
+    lines = lines.withColumn("span", F.col("passes") * F.col("source_size"))
+    lines = with_running_sums(lines, ["rank"], ["span"]).withColumnRenamed("before_span", "base").drop("span", "weight")
+    return cut(_with_bounds(lines, shards, seed)), n, block_words
 
 
 def plan(
@@ -114,7 +176,8 @@ def plan(
     A null text has size 0, a null source is a source of its own. Repeated rows
     are documents of their own. No source, or no word at all: nothing is taken. A
     source takes its target, rounded to whole words: only the document where the
-    target ends is cut.
+    target ends is cut. There may be any number of sources, as long as they and
+    ``MAX_BLOCKS`` are under 10^9 together, where the draws end.
     """
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -124,31 +187,14 @@ def plan(
         F.monotonically_increasing_id().alias("tie"),
     )
     sized = cut(sized)
-    known = sized.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
-    if len(known) > MAX_SOURCES:
-        raise ValueError(f"a recipe holds {MAX_SOURCES} sources at most")
-    words = sum(r["size"] for r in known)
-    block_words = max(block_words, math.ceil(SHARE * words / MAX_BLOCKS))
-    sources = recipe([(r["source"], r["size"]) for r in known], shards, block_words, seed)
-    lines, base = [], 0
-    for rank, s in enumerate(sources):
-        passes = 2 if round(s.target) > s.size else 1
-        lines.append(
-            (s.name, rank, s.size, float(s.target), round(s.target), passes, base, s.blocks, s.multiplier, s.shift, list(s.bounds))
-        )
-        base += passes * s.size
-    table = docs.sparkSession.createDataFrame(
-        lines,
-        "name string, rank int, source_size long, target double, quota long, passes int, base long, blocks long, "
-        "multiplier long, shift long, bounds array<long>",
-    )
-    # A line per source, each with a number per shard: the recipe, bounded by MAX_SOURCES.
-    joined = sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name")))
+    lines, n_sources, block_words = recipe(sized, shards, block_words, seed)
+    table = F.broadcast(lines) if n_sources <= FEW_SOURCES else lines
+    joined = sized.join(table, F.col("source").eqNullSafe(F.col("name")))
     taken_in = F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("pass")
     narrow = joined.select("doc_id", "size", "rank", "tie", taken_in, *keys)
     narrow = narrow.withColumn("dice", F.xxhash64(F.lit(seed), "pass", "doc_id", "size"))
     placed = with_running_sums(narrow, ["rank", "pass", "dice", "tie"], ["size"])
-    placed = placed.join(F.broadcast(table), "rank").withColumn("position", F.col("before_size") - F.col("base"))
+    placed = placed.join(table, "rank").withColumn("position", F.col("before_size") - F.col("base"))
     room = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("position")))
     placed = cut(placed.withColumn("taken", room))
     documents = placed.groupBy("tie", "doc_id", "size", "source_size", "target", *keys).agg(F.sum("taken").alias("taken"))
