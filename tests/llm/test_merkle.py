@@ -97,6 +97,11 @@ def test_a_proof_folds_to_the_root(docs_of):
     assert {len(r.proof) // 64 for r in rows} == {15 + 1 + 1, 3 + 1 + 1}  # runs of 16 and 4, two of them, two sources
 
 
+def test_hot_runs_are_stored_by_chunks(docs_of, monkeypatch):
+    monkeypatch.setattr(merkle, "CHUNK", 20)
+    check(docs_of([(i, f"Text {i}", "en", "hot" if i % 3 else f"s{i}") for i in range(150)]))
+
+
 def test_the_session_keeps_its_limit(spark, docs_of):
     key = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(key)

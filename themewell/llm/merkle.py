@@ -6,8 +6,13 @@ become one root in the same way. All levels above the leaves are stored as node
 rows that name their parent: a node has the digests of its run side by side.
 
 A proof is made by a Spark recursive query: every leaf climbs from its own run
-to the root, one stored node a step, appends the digests beside its own to its
-proof and folds its digest, tampered or not, into the next.
+to the root, one stored node a step, appends the siblings it meets (as the node
+and its own place there) to its path and folds its digest, tampered or not, into
+the next. Leaves of one run share all siblings above it, so the digests of a
+path are written out once per run, and once more beside each leaf's own.
+
+All leaves meet in the root, so a node is stored once for each chunk of ``CHUNK``
+leaves below it, and a step joins by node and chunk.
 """
 
 from __future__ import annotations
@@ -28,7 +33,9 @@ _DIGEST = 64  # characters of a digest
 _LEVELS = 64  # node numbers are first leaf times this, plus the level
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
-_NODES = "id long, parent long, place int, subroot string, run string"
+CHUNK = 4096  # leaves that may meet in one stored row, about
+
+_NODES = "id long, parent long, place int, subroot string, run string, low long, high long"
 
 
 def field(value: Column) -> Column:
@@ -88,20 +95,23 @@ def _height(n: int) -> int:
 
 
 def _above(level: DataFrame) -> DataFrame:
-    """Nodes over the rows (up, place, digest, ...) of a level: id, digest, run and what all their children share."""
-    shared = [F.first(c).alias(c) for c in level.columns if c not in ("up", "place", "digest", "index")]
+    """Nodes over the rows (up, place, digest, index, low, high, ...) of a level: id, digest, run and what all their children share."""
+    own = ("up", "place", "digest", "index", "low", "high")
+    shared = [F.first(c).alias(c) for c in level.columns if c not in own]
     # A run has RUN digests at most.
     digests = F.array_sort(F.collect_list(F.struct("place", "digest")))
     runs = level.groupBy(F.col("up").alias("id")).agg(
         F.array_join(F.transform(digests, lambda x: x["digest"]), "").alias("run"),
         F.shiftright(F.min("index"), _BITS).alias("index"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
         *shared,
     )
     return runs.withColumn("digest", F.sha2("run", 256))
 
 
 class Tree:
-    """Stored levels: ``leaves`` (place, up, ...), ``nodes`` (``_NODES``), ``root`` (None for an empty table)."""
+    """Stored levels: ``leaves`` (up, place, ...), ``nodes`` (``_NODES``; low and high are the first and last leaf below), ``root``."""
 
     def __init__(self, leaves: DataFrame, nodes: DataFrame, root: str | None) -> None:
         self.leaves, self.nodes, self.root = leaves, nodes, root
@@ -138,41 +148,42 @@ def build(hashed: DataFrame) -> Tree:
     facts = sources.select(F.col("source").alias("name"), "first", "height", "number")
     rows = ranked.join(facts, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     bottom = rows.withColumns({"index": F.col("rank") - F.col("first"), "digest": F.col("leaf")})
-    bottom = cut(placed(bottom, 0).select("rank", "doc_id", "leaf", "other", "digest", "index", "first", "height", "number", "up", "place", "subroot"))
+    bottom = bottom.withColumns({"low": F.col("rank"), "high": F.col("rank")}).drop("rank")
+    bottom = cut(placed(bottom, 0))
+    bare = ["up", "place", "digest", "low", "high"]
+    as_top = lambda level, k: level.where(F.col("height") == k).select(*bare, number.alias("index"))
+    stored = ["id", F.col("up").alias("parent"), "place", "subroot", "run", "low", "high"]
 
-    levels, level, subroots = [], bottom.drop("rank", "doc_id", "leaf", "other"), bottom.where("height = 0")
-    subroots = subroots.select("digest", "up", "place", F.col("number").alias("index"))
+    levels, level, subroots = [], bottom.drop("doc_id", "source", "leaf", "other"), as_top(bottom, 0)
     for k in range(1, top):
         nodes = cut(placed(_above(level.where(F.col("height") >= k).drop("subroot")), k))
-        levels.append(nodes.select("id", F.col("up").alias("parent"), "place", "subroot", "run"))
-        subroots = subroots.unionByName(nodes.where(F.col("height") == k).select("digest", "up", "place", F.col("number").alias("index")))
+        levels.append(nodes.select(*stored))
+        subroots = subroots.unionByName(as_top(nodes, k))
         level = nodes.drop("id", "run")
     level = cut(subroots)
     for k in range(top, top + _height(n_sources)):
-        over = _above(level)
         last = k == top + _height(n_sources) - 1
         up = F.lit(None).cast("long") if last else _node(F.lit(0).cast("long"), F.col("index"), k + 1)
-        level = cut(over.withColumns({"up": up, "place": _place(F.col("index"))}))
-        levels.append(level.select("id", F.col("up").alias("parent"), "place", F.lit(None).cast("string").alias("subroot"), "run"))
-        level = level.drop("id", "run")
+        nodes = _above(level).withColumns({"up": up, "place": _place(F.col("index")), "subroot": F.lit(None).cast("string")})
+        nodes = cut(nodes)
+        levels.append(nodes.select(*stored))
+        level = nodes.drop("id", "run", "subroot")
     root = level.select("digest").first()
-    nodes = reduce(DataFrame.unionByName, levels) if levels else spark.createDataFrame([], _NODES)
-    return Tree(bottom, nodes, root and root[0])
+    return Tree(bottom, reduce(DataFrame.unionByName, levels) if levels else spark.createDataFrame([], _NODES), root and root[0])
 
 
 # ---- proofs -----------------------------------------------------------------
 
 _CLIMB = f"""
-WITH RECURSIVE climb(doc_id, leaf, folded, up, place, subroot, proof) AS (
-  SELECT doc_id, leaf, other, up, place, subroot, '' FROM {{leaves}}
+WITH RECURSIVE climb(chunk, doc_id, leaf, folded, up, place, subroot, path) AS (
+  SELECT chunk, doc_id, leaf, other, up, place, subroot, CAST(array() AS ARRAY<STRUCT<node: BIGINT, place: INT>>) FROM {{leaves}}
   UNION ALL
-  SELECT c.doc_id, c.leaf,
+  SELECT c.chunk, c.doc_id, c.leaf,
     sha2(concat(substring(n.run, 1, {_DIGEST} * c.place), c.folded, substring(n.run, {_DIGEST} * c.place + {_DIGEST + 1})), 256),
-    n.parent, n.place, coalesce(c.subroot, n.subroot),
-    concat(c.proof, substring(n.run, 1, {_DIGEST} * c.place), substring(n.run, {_DIGEST} * c.place + {_DIGEST + 1}))
-  FROM climb c JOIN {{nodes}} n ON c.up = n.id
+    n.parent, n.place, coalesce(c.subroot, n.subroot), concat(c.path, array(named_struct('node', c.up, 'place', c.place)))
+  FROM climb c JOIN {{nodes}} n ON c.up = n.id AND c.chunk = n.chunk
 )
-SELECT doc_id, leaf, subroot, sha2(proof, 256) AS proof_sha256, folded AS folded_root{{more}} FROM climb WHERE up IS NULL
+SELECT chunk, doc_id, leaf, subroot, path, folded AS folded_root FROM climb WHERE up IS NULL
 """
 
 
@@ -188,12 +199,43 @@ def _unbounded_recursion(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def climb(tree: Tree, proofs: bool = False) -> DataFrame:
-    """(doc_id, leaf, subroot, proof_sha256, folded_root) per leaf, written; with ``proofs`` the digests themselves, too."""
-    spark = tree.leaves.sparkSession
-    query = _CLIMB.format(leaves="{leaves}", nodes="{nodes}", more=", proof" if proofs else "")
-    with _unbounded_recursion(spark):
-        return cut(spark.sql(query, leaves=tree.leaves, nodes=tree.nodes))
+def climb(tree: Tree) -> DataFrame:
+    """(chunk, doc_id, leaf, subroot, path, folded_root) per leaf, written; path has (node, place) from the leaf's run to the root's."""
+    leaves = tree.leaves.withColumn("chunk", _chunk("low"))
+    with _unbounded_recursion(leaves.sparkSession):
+        return cut(leaves.sparkSession.sql(_CLIMB, leaves=leaves, nodes=_stored(tree)))
+
+
+def _chunk(leaf: str) -> Column:
+    return F.floor(F.col(leaf) / F.lit(CHUNK)).cast("long")
+
+
+def _stored(tree: Tree) -> DataFrame:
+    """Nodes, once for each chunk of leaves below."""
+    return tree.nodes.withColumn("chunk", F.explode(F.sequence(_chunk("low"), _chunk("high")))).drop("low", "high")
+
+
+def _beside(run: Column, place: Column) -> Column:
+    """The digests of a run without the one at ``place``."""
+    return F.concat(F.substring(run, F.lit(1), _DIGEST * place), F.substring(run, _DIGEST * place + _DIGEST + 1, F.lit(RUN * _DIGEST)))
+
+
+def with_proofs(climbed: DataFrame, tree: Tree) -> DataFrame:
+    """``climbed`` with ``proof``: the digests beside the path, from the leaf's run up, left to right."""
+    nodes = _stored(tree).select(F.col("id").alias("node"), F.col("chunk").alias("in_chunk"), "run")
+    at = lambda a, b: (F.col(a) == F.col("node")) & (F.col("chunk") == F.col("in_chunk"))
+    first = climbed.withColumn("start", F.get("path", F.lit(0))["node"])
+    # One path for each run (and chunk): the leaves of a run share all that is above it.
+    paths = first.where("start is not null").groupBy("start", "chunk").agg(F.first("path").alias("path"))
+    steps = paths.select("start", "chunk", F.posexplode("path").alias("step", "at")).select("start", "chunk", "step", "at.*")
+    steps = steps.withColumnsRenamed({"node": "up", "place": "up_place"}).join(nodes, at("up", "node"))
+    own = F.max(F.when(F.col("step") == 0, F.col("run")))
+    above = F.collect_list(F.when(F.col("step") > 0, F.struct("step", _beside(F.col("run"), F.col("up_place")).alias("digests"))))
+    texts = F.transform(F.array_sort(above), lambda x: x["digests"])
+    runs = steps.groupBy(F.col("start").alias("of"), F.col("chunk").alias("of_chunk")).agg(own.alias("own"), F.array_join(texts, "").alias("above"))
+    joined = first.join(runs, (F.col("start") == F.col("of")) & (F.col("chunk") == F.col("of_chunk")), "left")
+    proof = F.concat(_beside(F.col("own"), F.get("path", F.lit(0))["place"]), F.col("above"))
+    return joined.withColumn("proof", F.coalesce(proof, F.lit(""))).select(*climbed.columns, "proof")
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None, proofs: bool = False) -> DataFrame:
@@ -208,9 +250,9 @@ def manifest(docs: DataFrame, tampered: Column | None = None, proofs: bool = Fal
     hash of nothing. Empty in, empty out.
     """
     tree = build(leaves(docs, tampered))
-    found = climb(tree, proofs)
+    found = with_proofs(climb(tree), tree)
     root = F.lit(tree.root)
     return found.select(
-        "doc_id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
+        "doc_id", "leaf", "subroot", root.alias("root"), F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == root).alias("verified"), *(["proof"] if proofs else []),
     )
