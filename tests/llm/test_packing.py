@@ -12,7 +12,6 @@ from themewell.llm import packing, tokens
 def check(rows, pieces, tiers=packing.TIERS):
     """Each id in one piece, windows gapless and within their tier."""
     t = Tokenizer.from_file(tokens.word_vocabulary())
-    t.encode_special_tokens = True
     want = sorted(
         (i is None, i or 0, np.array([*t.encode(x or "", add_special_tokens=False).ids, 2], "<u4").tobytes()) for i, x, *_ in rows
     )

@@ -75,20 +75,3 @@ def test_odd_rows(odd, none):
     assert len(got[4]) == 2 and {c for _, c in got[4] + got[5]} == {4}
     assert len(got[None]) == 1 and got[None][0][1] is None
     assert simhash.near_duplicates(none).collect() == []
-
-
-def test_similarity_settings_find_copies_with_some_words_changed(docs_of):
-    rng = np.random.default_rng(3)
-    vocabulary = [f"w{i}" for i in range(4000)]
-    rows, pairs = [], []
-    for k in range(40):
-        words = rng.choice(vocabulary, 300).tolist()
-        changed = list(words)
-        for at in rng.choice(300, 4, replace=False):  # 5-word shingles: similarity about 0.87
-            changed[at] = "zzz"
-        rows += [(2 * k, " ".join(words), "en", "a"), (2 * k + 1, " ".join(changed), "en", "a")]
-        pairs.append((2 * k, 2 * k + 1))
-    settings = simhash.similarity_settings(len(rows))
-    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs_of(rows), width=5, **settings).collect()}
-    assert sum(found[b] == a for a, b in pairs) >= 38
-    assert len(set(found.values())) >= 40  # nothing else is joined

@@ -11,7 +11,6 @@ from themewell.llm import token_files, tokens
 
 def reference(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -76,3 +75,22 @@ def test_frequent_ids_take_one_byte(spark, docs_of, tmp_path):
     contents = [bytes(r.content) for r in blocks.load(str(tmp_path / "f/ids")).collect()]
     ranks = [r for c in contents for *_, r in token_files.unpack_blocks(c)]
     assert max(int(r.max()) for r in ranks) == 4
+
+
+def test_encoder_equals_the_library_on_odd_strings():
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(1)
+    signs = [chr(c) for c in range(0x250)] + [
+        "  ", "\u2009", "\u3000", "'s", "'LL", "e\u0301", "中", "😀", "‐", "…", "\x1c", "\u212a", "\u212b", "Ɓ", "ﬁ", "ς", "Σ",
+        "<|endoftext|>", "<|startoftext|>",
+    ]
+    texts = ["".join(rng.choice(signs) if rng.random() < 0.6 else rng.choice("abc de 'st,.12\n\t") for _ in range(rng.randint(0, 25))) for _ in range(15_000)]
+    for path, spaced in ((tokens.byte_vocabulary(), True), (tokens.word_vocabulary(), False)):
+        library = Tokenizer.from_file(path)
+        for plain in (False, True):
+            library.encode_special_tokens = plain
+            encode = tokens.WordEncoder(path, spaced, plain).encode
+            assert all(encode(t).tolist() == library.encode(t, add_special_tokens=False).ids for t in texts)

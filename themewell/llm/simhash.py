@@ -15,7 +15,6 @@ many fingerprints is cut into tiles that meet as tasks of their own.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -31,7 +30,6 @@ from themewell.session import cut
 
 SEED = 42
 MEMBERS = 4096  # fingerprints of one table entry that meet in one tile
-SEGMENT = 16  # bits of a segment in similarity_settings
 _BLOCK = 1 << 16  # shingles whose bits are counted at a time
 
 
@@ -268,7 +266,9 @@ def near_duplicates(
     nodes = marks.groupBy("fp").agg(F.min("doc_id").alias("first")).select("fp", F.coalesce("first", made).alias("id"))
     nodes = cut(nodes)
     size = 64 * n_words // segments
-    entries = _entries(nodes, n_words, segments, ball)
+    # Nodes are narrow and lie in few files, but each asks for many keys: dealt out to as many tasks as a shuffle has.
+    dealt = nodes.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+    entries = _entries(dealt, n_words, segments, ball)
     stored = _entries(nodes, n_words, segments, 0)
     links = _meet(_tiled(entries, stored, size, ball, members), n_words, radius)
     found = components(links)
@@ -281,27 +281,3 @@ def near_duplicates(
     whole = alone.join(linked.withColumnRenamed("fp", "linked_fp"), F.col("fp") == F.col("linked_fp"), "left")
     whole = cut(whole.select("fp", F.coalesce("component_id", "own").alias("component_id")))
     return marks.join(whole, "fp").select("doc_id", "fp", "component_id")
-
-
-def similarity_settings(n_docs: int, similarity: float = 0.8, miss: float = 0.04) -> dict:
-    """Settings that link texts whose shingle sets have this Jaccard similarity.
-
-    The share of differing bits is the angle between the shingle counts over pi.
-    The radius is that share and one standard deviation. There are so many
-    segments that all but ``miss`` of the pairs at the threshold share a ball
-    (nearer ones more). ``n_docs`` changes nothing: the same two texts are linked
-    or not in tables of any size. Links are not checked against the texts;
-    ``near_copies`` does that.
-    """
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    size = SEGMENT
-    close = (1 - share) ** size + size * share * (1 - share) ** (size - 1)
-    segments = math.ceil(math.log(miss) / math.log(1 - close))
-    n_words = math.ceil(segments * size / 64)
-    bits = 64 * n_words
-    return {
-        "n_words": n_words,
-        "segments": bits // size,
-        "radius": math.ceil(bits * share + math.sqrt(bits * share * (1 - share))),
-        "ball": 1,
-    }

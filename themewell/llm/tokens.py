@@ -1,15 +1,17 @@
 """Token ids of whole texts by the public tokenizers, with a bounded memory of words.
 
-Both vocabularies never merge across a single space between two visible
-characters, so a text is cut there and each word is encoded once per worker; the
-ids of a text are the ids of its words in order. Words met before come out of a
-dictionary. The tokenizers library encodes all others.
+The library cuts a text into pieces by a pattern and merges inside each. Texts of
+Latin letters are cut here by the same pattern, and each piece is merged once per
+worker by the library's model; pieces met before come out of a dictionary. Other
+texts are cut only where neither vocabulary merges, at single spaces between
+visible characters, and the library encodes what is new there.
 """
 
 from __future__ import annotations
 
 import array
 import re
+import struct
 
 import numpy as np
 import public_tokenizers
@@ -28,11 +30,26 @@ _RARE_ASCII_SPACE = "\t\r\v\f\x1c\x1d\x1e\x1f"
 _ASCII_SPACE = re.compile("[ \t\n\v\f\r]+")
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
+# Letters, numbers and white space up to U+024F, and the patterns of both vocabularies over them.
+_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+_NUMBER = "0-9²³¹¼-¾"
+_SPACE = "\\t-\\r \x85\xa0"
+_OTHER = f"[^{_SPACE}{_LETTER}{_NUMBER}]"
+_ENDINGS = "'(?:[stmd]|re|ve|ll)"
+_SPACED_PIECES = re.compile(f"{_ENDINGS}| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?{_OTHER}+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_BARE_PIECES = re.compile(f"{_ENDINGS}|[{_LETTER}]+|[{_NUMBER}]|{_OTHER}+")
+_BEYOND = re.compile("[^\0-\u024f\u2010-\u2027]")
+
 #: The public byte alphabet of such vocabularies: visible bytes stand for themselves, the others for 256 and up.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
 _SYMBOLS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
+def _any_of(literals: list[str]) -> re.Pattern | None:
+    return re.compile("|".join(map(re.escape, literals))) if literals else None
+
+
 class _Memory(dict):
     """Values by key, made when missing; the older half goes when it is full."""
 
@@ -52,21 +69,42 @@ class _Memory(dict):
 
 
 class WordEncoder:
-    """Encodes texts with a vocabulary file; ``spaced`` tells if a word keeps the space before it."""
+    """Encodes texts with a vocabulary file; ``spaced`` tells if a word keeps the space before it.
 
-    def __init__(self, path: str, spaced: bool) -> None:
+    As the library does by default, the literal of a special token in a text
+    becomes its id; with ``plain_specials`` it is ordinary text.
+    """
+
+    def __init__(self, path: str, spaced: bool, plain_specials: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        self.specials = None if plain_specials else _any_of([t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
         self.model = self.tokenizer.model
         self.spaced = spaced
+        self.pattern = _SPACED_PIECES if spaced else _BARE_PIECES
+        self.pieces = _Memory(self._piece)
         self.words = _Memory(self._word)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids as unsigned 32-bit integers; none for a null or empty text."""
         if not text:
             return np.empty(0, "<u4")
+        if self.specials and self.specials.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        written = text if self.spaced else text.lower()
+        if _BEYOND.search(written) is None:
+            return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.pattern.findall(written))), "<u4")
         return np.frombuffer(b"".join(map(self.words.__getitem__, self._cut(text))), "<u4")
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece that the library would merge by itself."""
+        if piece.isascii() and piece.isprintable():
+            symbols = piece.replace(" ", "Ġ") if piece[0] == " " else piece
+        else:
+            symbols = piece.encode().decode("latin-1").translate(_SYMBOLS)
+        ids = [t.id for t in self.model.tokenize(symbols)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else array.array("I", ids).tobytes()
+
     def _cut(self, text: str) -> list[str]:
         if not self.spaced:
             return _ASCII_SPACE.split(text)
