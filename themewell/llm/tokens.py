@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import array
 import re
-import struct
 
 import numpy as np
 import public_tokenizers
@@ -42,7 +41,6 @@ _BEYOND = re.compile("[^\0-\u024f\u2010-\u2027]")
 
 #: The public byte alphabet of such vocabularies: visible bytes stand for themselves, the others for 256 and up.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(33)]
 _SYMBOLS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
@@ -102,8 +100,7 @@ class WordEncoder:
             symbols = piece.replace(" ", "Ġ") if piece[0] == " " else piece
         else:
             symbols = piece.encode().decode("latin-1").translate(_SYMBOLS)
-        ids = [t.id for t in self.model.tokenize(symbols)]
-        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else array.array("I", ids).tobytes()
+        return array.array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def _cut(self, text: str) -> list[str]:
         if not self.spaced:
