@@ -65,9 +65,18 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut(_docs(spark, sf_dir).select("id", "category", "intent", "n_chars"))
 
 
+def _tasks(docs: DataFrame) -> int:
+    """Texts may come in one file: the dear work on them is dealt out over as many tasks as a shuffle has."""
+    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _doc_vectors(docs: DataFrame) -> DataFrame:
     """Hashed vectors, written once for the operators that read them many times."""
-    return cut(embed.embed_hash(docs))
+    return cut(embed.embed_hash(docs, tasks=_tasks(docs)))
+
+
+def _terms(assigned: DataFrame, docs: DataFrame) -> DataFrame:
+    return labels.keyword_terms(assigned, docs, tasks=_tasks(docs))
 
 
 def _by_language(docs: DataFrame) -> DataFrame:
@@ -141,7 +150,8 @@ def label_profile(spark, sf_dir):
 
 
 def embed_hash(spark, sf_dir):
-    rows = embed.sparse_rows(embed.embed_hash(_docs(spark, sf_dir)))
+    docs = _docs(spark, sf_dir)
+    rows = embed.sparse_rows(embed.embed_hash(docs, tasks=_tasks(docs)))
     value = F.round(F.col("value").cast("double"), 6)
     return rows.select(F.col("id").alias("doc_id"), "bucket", value.alias("value"))
 
@@ -265,6 +275,12 @@ def k_search(spark, sf_dir):
     return scores.select("k", _r6("silhouette"), "n_scored")
 
 
+def k_search_short(spark, sf_dir):
+    """Three values of k, with the passes that each took."""
+    scores, _, _ = kmeans.search_k(_doc_vectors(_docs(spark, sf_dir)), (4, 8, 12))
+    return scores.select("k", _r6("silhouette"), "n_scored", "steps", "converged")
+
+
 def hdbscan_labels(spark, sf_dir):
     return density.run_hdbscan(_doc_vectors(_docs(spark, sf_dir)))
 
@@ -279,7 +295,10 @@ def hdbscan_sweep(spark, sf_dir):
 
 
 def project_2d(spark, sf_dir):
-    return project.project_2d(_doc_vectors(_docs(spark, sf_dir)))
+    coords = project.project_2d(_doc_vectors(_docs(spark, sf_dir)))
+    # Plus 0, so that a small negative value is 0 and not -0.
+    r4 = lambda name: (F.round(name, 4) + F.lit(0.0)).alias(name)
+    return coords.select("id", r4("x"), r4("y"), "method")
 
 
 # ---- labelling and reporting ------------------------------------------------
@@ -287,7 +306,7 @@ def project_2d(spark, sf_dir):
 
 def keyword_labels(spark, sf_dir):
     docs = _stage(spark, sf_dir)
-    return labels.keyword_terms(_by_language(docs), docs)
+    return _terms(_by_language(docs), docs)
 
 
 def label_requests(spark, sf_dir):
@@ -302,7 +321,7 @@ def cluster_catalogue(spark, sf_dir):
     docs = _stage(spark, sf_dir)
     assigned = _by_language(docs)
     nearest = represent.nearest_to_centroid(_doc_vectors(docs), assigned)
-    names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
+    names = labels.keyword_labels(_terms(assigned, docs))
     table = report.cluster_catalogue(assigned, names, represent.examples(nearest, docs))
     joined = F.array_join("examples", " || ").alias("examples")
     return table.select("cluster_id", "label", "description", "size", _r6("share"), joined)
@@ -315,7 +334,7 @@ def _coords(docs: DataFrame) -> DataFrame:
 def cluster_map(spark, sf_dir):
     docs = _stage(spark, sf_dir)
     assigned = _by_language(docs)
-    names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
+    names = labels.keyword_labels(_terms(assigned, docs))
     return report.cluster_map(_coords(docs), assigned, docs, names).withColumnRenamed("id", "doc_id")
 
 
@@ -341,7 +360,7 @@ def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _doc_vectors(docs)
     assigned = cut(kmeans.run_kmeans(vectors, k=4).assigned)
     nearest = represent.nearest_to_centroid(vectors, assigned)
-    names = labels.keyword_labels(labels.keyword_terms(assigned, docs))
+    names = labels.keyword_labels(_terms(assigned, docs))
     table = report.cluster_catalogue(assigned, names, represent.examples(nearest, docs))
     joined = F.array_join("examples", " || ").alias("examples")
     return table.select("cluster_id", "label", "description", "size", _r6("share"), joined)
@@ -381,6 +400,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hdbscan_mst": hdbscan_mst,
         "kmeans_assign": kmeans_assign,
         "k_search": k_search,
+        "k_search_short": k_search_short,
         "hdbscan_labels": hdbscan_labels,
         "hdbscan_sweep": hdbscan_sweep,
         "project_2d": project_2d,

@@ -346,6 +346,36 @@ dense AS (
 )"""
 
 
+#: The first two principal axes by power iteration with orthogonal steps; rows are not centred when they are placed.
+_AXES = """
+cells AS (SELECT id, unnest(e) AS x, unnest(range(1, len(e) + 1)) AS dim FROM dense),
+level AS (SELECT list(mean ORDER BY dim) AS m FROM (SELECT dim, avg(x) AS mean FROM cells GROUP BY dim)),
+flat AS (SELECT id, list_transform(list_zip(e, m), lambda p: p[1] - p[2]) AS c FROM dense, level),
+wide AS (SELECT dim AS a, other AS b, avg(x * y) AS v FROM (
+  SELECT unnest(range(1, len(c) + 1)) AS dim, unnest(c) AS x, c FROM flat), LATERAL (SELECT unnest(c) AS y, unnest(range(1, len(c) + 1)) AS other)
+  GROUP BY ALL),
+square AS (SELECT list(row ORDER BY a) AS s FROM (SELECT a, list(v ORDER BY b) AS row FROM wide GROUP BY a)),
+turned AS (
+  SELECT 0 AS step, list_transform(range(1, len(s) + 1), lambda i: sin(i * 1.7) + 0.1) AS u, list_transform(range(1, len(s) + 1), lambda i: cos(i * 2.3)) AS w
+  FROM square
+  UNION ALL
+  SELECT step + 1, list_transform(su, lambda v: v / list_distance(su, list_transform(su, lambda z: 0.0))), list_transform(ow, lambda v: v / list_distance(ow, list_transform(ow, lambda z: 0.0)))
+  FROM (
+    SELECT step, su, list_transform(list_zip(sw, su), lambda p: p[1] - p[2] * list_dot_product(sw, su) / list_dot_product(su, su)) AS ow
+    FROM (
+      SELECT step, list_transform(s, lambda r: list_dot_product(r, u)) AS su, list_transform(s, lambda r: list_dot_product(r, w)) AS sw
+      FROM turned, square WHERE step < 300
+    )
+  )
+),
+axes AS (
+  SELECT list_transform(u, lambda v: v * sign(u[list_position(list_transform(u, lambda z: abs(z)), list_max(list_transform(u, lambda z: abs(z))))])) AS u,
+         list_transform(w, lambda v: v * sign(w[list_position(list_transform(w, lambda z: abs(z)), list_max(list_transform(w, lambda z: abs(z))))])) AS w
+  FROM turned WHERE step = 300
+)
+SELECT id, round(list_dot_product(e, u), 4) + 0.0 AS x, round(list_dot_product(e, w), 4) + 0.0 AS y, 'pca' AS method FROM dense, axes"""
+
+
 def _setting(name: str, size: int, samples: int | None) -> str:
     """One row of the settings sweep over hashed documents, scored against their language."""
     shown = "" if samples is None else samples
@@ -377,33 +407,55 @@ def _setting(name: str, size: int, samples: int | None) -> str:
     FROM counts)"""
 
 
-def _kmeans(ks: list[int], steps: int = 30) -> str:
-    """``centres`` (k, cs) after the steps and ``kmeans_labels`` (k, id, cluster_id) over ``dense``.
+def _kmeans(ks: list[int]) -> str:
+    """``centres`` (k, cs) when they stay and ``kmeans_labels`` (k, id, cluster_id) over ``dense``.
 
     The centres for a smaller k are the first ones for a larger k.
     """
+    draw = "(CAST('0x' || substr(md5('42:' || {} || ':' || id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496"
     return f"""
+rounds AS (
+  SELECT 0 AS round, [id] AS ids, [e] AS cs FROM dense QUALIFY row_number() OVER (ORDER BY md5('42:' || id), id) = 1
+  UNION ALL
+  SELECT round + 1, list_concat(any_value(ids), coalesce(list(id ORDER BY id) FILTER (picked), [])),
+         list_concat(any_value(cs), coalesce(list(e ORDER BY id) FILTER (picked), []))
+  FROM (
+    SELECT *, gap > 0 AND draw * sum(gap) OVER () < {2 * max(ks)} * gap AS picked
+    FROM (
+      SELECT round, ids, cs, id, e, {draw.format("(-round - 1)")} AS draw,
+             list_min(list_transform(cs, lambda c: round(list_distance(c, e) ** 2, 9))) AS gap
+      FROM rounds, dense WHERE round < 5
+    )
+  )
+  GROUP BY round
+),
+drawn AS (SELECT unnest(ids) AS id, unnest(cs) AS e, unnest(range(1, len(ids) + 1)) AS place FROM rounds WHERE round = 5),
 start AS (
-  SELECT id, e, row_number() OVER (ORDER BY md5('42:' || id), id) AS place FROM dense
-  QUALIFY place <= 2000
+  SELECT drawn.*, weight
+  FROM drawn JOIN (
+    SELECT list_position(gaps, list_min(gaps)) AS place, count(*) AS weight
+    FROM (SELECT list_transform(cs, lambda c: round(list_distance(c, dense.e) ** 2, 9)) AS gaps FROM dense, rounds WHERE round = 5)
+    GROUP BY 1
+  ) USING (place)
 ),
+spread AS (SELECT 0.0001 * avg(v) AS least FROM (SELECT var_pop(x) AS v FROM (SELECT unnest(e) AS x, unnest(range(0, len(e))) AS dim FROM dense) GROUP BY dim)),
 pick AS (
-  SELECT 1 AS step, [e] AS cs FROM start WHERE place = 1
+  SELECT 1 AS step, [e] AS cs FROM start QUALIFY row_number() OVER (ORDER BY ln({draw.format("0")}) / weight DESC, place) = 1
   UNION ALL
   SELECT step + 1, list_append(any_value(cs), arg_min(e, potential))
   FROM (
-    SELECT step, id, any_value(cs) AS cs, any_value(e) AS e, sum(least(gap, list_distance(e, other) ** 2)) AS potential
+    SELECT step, id, any_value(cs) AS cs, any_value(e) AS e, sum(weight * least(gap, list_distance(e, other) ** 2)) AS potential
     FROM (
-      SELECT c.step, c.id, c.cs, c.e, s.e AS other, list_min(list_transform(c.cs, lambda x: list_distance(x, s.e) ** 2)) AS gap
+      SELECT c.step, c.id, c.cs, c.e, s.e AS other, s.weight, list_min(list_transform(c.cs, lambda x: list_distance(x, s.e) ** 2)) AS gap
       FROM start s, (
         SELECT step, cs, id, e
         FROM (
-          SELECT step, cs, id, e, place, list_min(list_transform(cs, lambda c: list_distance(c, start.e) ** 2)) AS gap,
-                 (CAST('0x' || substr(md5('42:' || step || ':' || id), 1, 13) AS BIGINT) + 0.5) / 4503599627370496 AS draw
+          SELECT step, cs, id, e, place, weight, list_min(list_transform(cs, lambda c: list_distance(c, start.e) ** 2)) AS gap,
+                 {draw.format("step")} AS draw
           FROM pick, start WHERE step < {max(ks)}
         )
         WHERE gap > 0
-        QUALIFY row_number() OVER (ORDER BY ln(draw) / gap DESC, place) <= 8
+        QUALIFY row_number() OVER (ORDER BY ln(draw) / (gap * weight) DESC, place) <= 8
       ) c
     )
     GROUP BY step, id
@@ -411,10 +463,12 @@ pick AS (
   GROUP BY step
 ),
 moved AS (
-  SELECT 0 AS step, k, list_slice((SELECT arg_max(cs, step) FROM pick), 1, k) AS cs
+  SELECT 0 AS step, k, list_slice((SELECT arg_max(cs, step) FROM pick), 1, k) AS cs, CAST('inf' AS DOUBLE) AS moved
   FROM (SELECT unnest({ks}) AS k) WHERE k < (SELECT count(*) FROM dense) OR {len(ks)} = 1
   UNION ALL
-  SELECT moved.step + 1, moved.k, list_transform(range(1, len(cs) + 1), lambda i: coalesce(means[i], cs[i]))
+  SELECT step, k, new, list_sum(list_transform(list_zip(cs, new), lambda p: list_distance(p[1], p[2]) ** 2))
+  FROM (
+  SELECT moved.step + 1 AS step, moved.k AS k, cs, list_transform(range(1, len(cs) + 1), lambda i: coalesce(means[i], cs[i])) AS new
   FROM moved JOIN (
     SELECT k, map_from_entries(list((own, mean))) AS means
     FROM (
@@ -424,7 +478,8 @@ moved AS (
         FROM (
           SELECT k, list_position(gaps, list_min(gaps)) AS own, unnest(e) AS x, unnest(range(0, len(e))) AS dim
           FROM (
-            SELECT k, e, list_transform(cs, lambda c: round(list_distance(c, dense.e) ** 2, 9)) AS gaps FROM moved, dense
+            SELECT k, e, list_transform(cs, lambda c: round(list_distance(c, dense.e) ** 2, 9)) AS gaps
+            FROM moved, dense WHERE moved > (SELECT least FROM spread)
           )
         )
         GROUP BY k, own, dim
@@ -433,9 +488,10 @@ moved AS (
     )
     GROUP BY k
   ) USING (k)
-  WHERE moved.step < {steps}
+  WHERE moved.step < 300 AND moved.moved > (SELECT least FROM spread)
+  )
 ),
-centres AS (SELECT k, cs FROM moved WHERE step = {steps}),
+centres AS (SELECT k, arg_max(cs, step) AS cs, max(step) AS steps, arg_max(moved, step) <= (SELECT least FROM spread) AS converged FROM moved GROUP BY k),
 kmeans_labels AS (
   SELECT k, id, CAST(list_position(gaps, list_min(gaps)) - 1 AS INTEGER) AS cluster_id
   FROM (SELECT k, id, list_transform(cs, lambda c: round(list_distance(c, dense.e) ** 2, 9)) AS gaps FROM centres, dense)
@@ -565,6 +621,23 @@ def statements() -> dict[str, str]:
         "cluster_catalogue": f"WITH {_BY_LANGUAGE}, {_HASHED}, {_NEAR_DOCS}, {_TERMS}, {_CATALOGUE}",
         "kmeans_assign": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans([4])}
             SELECT id, 'kmeans' AS method, cluster_id FROM kmeans_labels""",
+        "k_search_short": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans([4, 8, 12])},
+            apart AS (SELECT a.id, b.id AS other, list_distance(a.e, b.e) ** 2 AS d FROM dense a JOIN dense b ON a.id <> b.id),
+            sums AS (
+              SELECT mine.k, apart.id, mine.cluster_id AS own, theirs.cluster_id AS theirs, sum(d) AS d, count(*) AS n
+              FROM apart JOIN kmeans_labels mine ON mine.id = apart.id
+              JOIN kmeans_labels theirs ON theirs.id = other AND theirs.k = mine.k GROUP BY ALL
+            ),
+            near AS (SELECT k, id, min(d / n) AS b FROM sums WHERE own <> theirs GROUP BY ALL),
+            home AS (SELECT k, id, d / n AS a FROM sums WHERE own = theirs),
+            scored AS (
+              SELECT k, count(*) AS n_scored, round(
+                avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+              FROM near LEFT JOIN home USING (k, id) GROUP BY k
+            )
+            SELECT CAST(k AS INTEGER) AS k, silhouette, n_scored, CAST(steps AS INTEGER) AS steps, converged
+            FROM scored JOIN centres USING (k)""",
+        "project_2d": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_AXES}""",
         "discover": f"""WITH RECURSIVE {_DOCS}, {_HASHED}, {_DENSE}, {_kmeans([4])},
             assigned AS (SELECT docs.*, cluster_id FROM docs JOIN kmeans_labels ON id = doc_id),
             {_NEAR_DOCS}, {_TERMS}, {_CATALOGUE}""",

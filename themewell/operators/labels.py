@@ -109,14 +109,18 @@ def require_labels(labelled: DataFrame) -> DataFrame:
     return labelled
 
 
-def keyword_terms(assigned: DataFrame, texts: DataFrame, n_terms: int = DEFAULT_TERMS) -> DataFrame:
+def keyword_terms(
+    assigned: DataFrame, texts: DataFrame, n_terms: int = DEFAULT_TERMS, tasks: int | None = None
+) -> DataFrame:
     """``cluster_id, rank, term, score``: class-based TF-IDF (Grootendorst 2022).
 
     score = tf(term, cluster) * ln(1 + A / f(term)), A = mean words per cluster,
     f = occurrences in all clusters. Ties go to the smaller term. Counts are
     combined before the shuffle, so neither a common word nor a large cluster
-    gathers its occurrences in one task.
+    gathers its occurrences in one task. Where texts come in a few large files,
+    ``tasks`` deals them out by id over so many tasks first.
     """
+    texts = texts if tasks is None else texts.repartition(tasks, "id")
     members = without_noise(assigned).select("id", "cluster_id").join(texts.select("id", "text"), "id")
     tf = (
         # The outer form splits each text once; the plain one adds a filter that splits it again.
