@@ -51,3 +51,38 @@ def test_words_looked_up_equal_whole_text():
     want = language.softmax(model.logits(share @ model.scores[buckets], n))
     got = language.Scorer(model).score(text)
     assert got[0] == "abc"[want.argmax()] and abs(got[1] - want.max()) < 1e-9
+
+
+def test_letters_marks_and_numerals():
+    assert language.words_of("½ ²① 12 _ \u0301 …") == []
+    assert language.words_of("हिन्दी भाषा") == ["हिन्दी", "भाषा"]
+    assert language.words_of("L'Été_x2y ÞÆ") == ["l", "été", "x", "y", "þæ"]
+    model = language.Model(["a"], np.ones((language.BUCKETS, 1), np.float32), np.zeros(1))
+    assert [x for x, _ in language.Scorer(model).score_all(["²①", "½", "x", None])] == ["und", "und", "a", "und"]
+
+
+def test_subwords_are_the_n_grams_of_each_word():
+    words = ["a", "größe", "hi😀", "x" * 90]
+    codes, counts = language.subwords(words)
+    grams = [[f"<{w}>"[i : i + n] for n in language.NGRAMS for i in range(len(w) + 3 - n)] for w in words]
+    assert counts.tolist() == list(map(len, grams))
+    bucket = {}  # one bucket for each n-gram, whatever word it stands in
+    for gram, code in zip(sum(grams, []), codes.tolist(), strict=True):
+        assert bucket.setdefault(gram, code) == code
+    assert len(set(bucket.values())) == len(bucket)
+
+
+def test_forgetting_changes_no_answer():
+    rng = np.random.default_rng(9)
+    model = language.Model(["a", "b"], rng.normal(size=(language.BUCKETS, 2)).astype(np.float32), np.zeros(2))
+    texts = [" ".join("".join(rng.choice(list("abcdefg"), 4)) for _ in range(30)) for _ in range(60)]
+    whole = language.Scorer(model).score_all(texts)
+    small = language.Scorer(model, remembered=40)
+    parts = [x for i in range(0, 60, 3) for x in small.score_all(texts[i : i + 3])]
+    assert [x for x, _ in whole] == [x for x, _ in parts]
+    assert np.allclose([x for _, x in whole], [x for _, x in parts], atol=1e-12)
+
+
+def test_any_number_of_languages(docs_of):
+    rows = [(i, f"{chr(0x4E00 + i // 4) * 3} wort", f"l{i // 4:03d}", "s") for i in range(4 * 320)]
+    assert len(language.fit(docs_of(rows)).languages) == 320

@@ -8,7 +8,8 @@ the sample sets the temperature of the softmax and the score under which texts
 are rejected.
 
 For prediction embedding and weights are multiplied out once: each bucket has a
-score per language, each word a sum of scores, which workers remember.
+score per language, each word a sum of scores, which workers remember. New words
+of a batch are hashed and summed up together in numpy.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,38 +33,51 @@ BUCKETS = 1 << 16
 DIMENSIONS = 16
 NGRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANGUAGE = 400  # labelled rows per language for training and calibration, about
-MAX_LANGUAGES = 300
 EPOCHS = 6
 RATE = 0.5
 TARGET_ERROR = 0.01  # of what is accepted on the calibration rows
 MAX_REJECTED = 0.002  # of the calibration rows that are right
-REMEMBERED = 100_000  # words a worker keeps
+REMEMBERED = 200_000  # words in each of two generations that a worker keeps
+REMEMBERED_BYTES = 64 << 20  # of scores in a generation, whatever the number of languages
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Letters, with the marks that belong to them; the second form for texts up to U+024F, which have no marks.
+_LETTERS = regex.compile(r"\p{M}*\p{L}[\p{L}\p{M}]*")
+_LATIN_LETTERS = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ɏ]+")
+_BEYOND = re.compile("[^\0-\u024f\u2010-\u2027]")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return _LETTERS.findall(text.lower()) if text else []
+    """Runs of letters and their marks, lower-cased; numerals and marks alone are no words."""
+    if not text:
+        return []
+    text = text.lower()
+    return _LATIN_LETTERS.findall(text) if _BEYOND.search(text) is None else _LETTERS.findall(text)
 
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, counts): the character n-grams of all words, ends marked, repeats included; how many of each word."""
-    grams: list = []
-    counts = []
-    for word in words:
-        before = len(grams)
-        # Very long runs of letters go piece by piece, so that nothing is left out.
-        for piece in (word,) if len(word) <= 64 else [word[i : i + 64] for i in range(0, len(word), 64)]:
-            marked = f"<{piece}>"
-            if marked.isascii():
-                marked = marked.encode()
-                grams += [marked[i : i + n] for n in NGRAMS for i in range(len(marked) - n + 1)]
-            else:
-                grams += [marked[i : i + n].encode("utf-8", "surrogatepass") for n in NGRAMS for i in range(len(marked) - n + 1)]
-        counts.append(len(grams) - before)
-    codes = np.fromiter(map(xxhash.xxh32_intdigest, grams, repeat(7)), np.int64, len(grams))
-    return codes % BUCKETS, np.array(counts, np.int64)
+    """(buckets, counts): the character n-grams of all words, ends marked, repeats included, word by word; how many of each."""
+    points = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lengths = np.array([len(w) + 2 for w in words], np.int64)
+    word = np.repeat(np.arange(len(words)), lengths)
+    # Characters from a place to the end of its word.
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
+    codes, owners = [], []
+    gram = np.zeros(len(points), np.uint64)
+    for n in NGRAMS:
+        last = np.zeros_like(points)
+        last[: len(points) - n + 1] = points[n - 1 :]
+        gram = gram * np.uint64(0x9E3779B97F4A7C15) + last + np.uint64(1)
+        whole = left >= n
+        codes.append(_buckets(gram[whole]))
+        owners.append(word[whole])
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(codes)[order], np.bincount(owner, minlength=len(words))
+
+
+def _buckets(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -179,7 +194,7 @@ def may_learn(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE_PER_LANGUAGE, seed: int = 42) -> Model:
-    """Trains on about ``per_language`` rows of each of the most frequent languages (``MAX_LANGUAGES``).
+    """Trains on about ``per_language`` rows of each language.
 
     ``learn`` says which rows may be used (default: all). Rows are picked by a
     hash of the id, so a rerun picks the same; null text or lang is never used.
@@ -187,13 +202,12 @@ def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     if learn is not None:
         usable = usable.where(learn)
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return train([])
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
+    usable = usable.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    # A row per language.
+    share = usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(per_language) / F.count("*")).alias("share"))
     dice = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     # Bounded by languages x rows per language, whatever the table.
-    sample = usable.where(dice < share[F.col("lang")]).select("text", "lang").collect()
+    sample = usable.join(share, "lang").where(dice < F.col("share")).select("text", "lang").collect()
     return train([(r["text"], r["lang"]) for r in sample], seed)
 
 
@@ -201,37 +215,54 @@ def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE
 
 
 class Scorer:
-    """Scores whole texts; sums of known words are looked up."""
+    """Scores whole texts; sums of known words are looked up. The older half of the words goes when there are too many."""
 
-    def __init__(self, model: Model) -> None:
+    def __init__(self, model: Model, remembered: int | None = None) -> None:
         self.model = model
+        width = len(model.languages) + 1
+        self.most = remembered or max(1, min(REMEMBERED, REMEMBERED_BYTES // (8 * width)))
         self.number: dict[str, int] = {}
-        self._empty()
-
-    def _empty(self) -> None:
-        self.number.clear()
-        self.sums = np.zeros((1024, len(self.model.languages) + 1), np.float64)
+        self.sums = np.zeros((1024, width))
+        self.old_number: dict[str, int] = {}
+        self.old_sums = np.zeros((0, width))
 
     def _learn(self, words: list[str]) -> None:
-        codes, counts = subwords(words)
         first = len(self.number)
         while first + len(words) > len(self.sums):
             self.sums = np.concatenate((self.sums, np.zeros_like(self.sums)))
-        rows = self.sums[first : first + len(words)]
-        starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        rows[:, :-1] = np.add.reduceat(self.model.scores[codes].astype(np.float64), starts)
-        rows[:, -1] = counts
-        self.number.update(zip(words, range(first, first + len(words)), strict=True))
+        known = [w for w in words if w in self.old_number]
+        new = [w for w in words if w not in self.old_number]
+        middle = first + len(known)
+        self.sums[first:middle] = self.old_sums[[self.old_number[w] for w in known]]
+        if new:
+            codes, counts = subwords(new)
+            rows = self.sums[middle : middle + len(new)]
+            starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+            rows[:, :-1] = np.add.reduceat(self.model.scores[codes].astype(np.float64), starts)
+            rows[:, -1] = counts
+        self.number.update(zip(known + new, range(first, first + len(words)), strict=True))
 
     def score(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
-        if not words or not self.model.languages:
-            return UNKNOWN, 0.0
-        if len(self.number) > REMEMBERED:
-            self._empty()
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        return self.score_all([text])[0]
+
+    def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, score) of each text; words new to the worker are learned for all of them at once."""
+        if not self.model.languages:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        words = [words_of(t) for t in texts]
+        met = dict.fromkeys(chain.from_iterable(words))
+        new = [w for w in met if w not in self.number]
+        if self.number and len(self.number) + len(new) > self.most:
+            self.old_number, self.old_sums = self.number, self.sums
+            self.number, self.sums = {}, np.zeros_like(self.sums[:1024])
+            new = list(met)
         if new:
             self._learn(new)
+        return [self._answer(own) for own in words]
+
+    def _answer(self, words: list[str]) -> tuple[str, float]:
+        if not words:
+            return UNKNOWN, 0.0
         total = self.sums[list(map(self.number.__getitem__, words))].sum(axis=0)
         chances = softmax(self.model.logits(total[:-1] / total[-1], total[-1]))
         best = int(chances.argmax())
@@ -251,7 +282,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]):
             scorer = Scorer(model)
             for batch in batches:
-                found = [scorer.score(t.as_py()) for t in batch.column("text")]
+                found = scorer.score_all(batch.column("text").to_pylist())
                 yield batch_of(
                     schema,
                     {"doc_id": batch.column("doc_id"), "lang_pred": [x for x, _ in found], "score": [x for _, x in found],
@@ -272,7 +303,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         scorer = Scorer(model)
         for batch in batches:
-            found = [scorer.score(t.as_py()) for t in batch.column("text")]
+            found = scorer.score_all(batch.column("text").to_pylist())
             keep = pa.array([x != UNKNOWN and s >= model.threshold for x, s in found], pa.bool_())
             yield batch.filter(keep)
 

@@ -58,7 +58,7 @@ def op5_subword_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     may_learn = language.may_learn(F.col("doc_id"))
     model = language.fit(docs, may_learn)
     found = language.identify(docs, model)
-    held_out = ~language.may_learn(F.col("doc_id"))
+    held_out = F.coalesce(~language.may_learn(F.col("doc_id")), F.lit(False))  # a row without id has no remainder
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
