@@ -1,12 +1,14 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Each source is a stream of words: its documents in a random order, then, if the
-target exceeds the source, again in another order. The stream is cut into blocks
-at fixed word positions, and as many blocks as the target holds are taken, the
-last one in part. A tree splits the exact block counts of all sources among the
-output shards: at each node the left half's counts are one draw from the
-multivariate hypergeometric distribution. Each shard then takes its own blocks of
-a permutation of the source's blocks and orders its documents at random.
+Each source is a stream of words: its documents in a random order, and again in
+another order if the target exceeds the source. A pass over the documents is cut
+into blocks at fixed word positions, and a random permutation of a pass's blocks
+says which of them are drawn: as many as the target holds, the last one in part.
+A tree splits the exact block counts of all sources among the output shards: at
+each node the left half's counts are one draw from the multivariate
+hypergeometric distribution. Each shard takes its own turns of the permutation,
+so blocks are disjoint, and orders what it got at random. A document at the edge
+of a block is cut there.
 
 The recipe (one row per source), words, positions and blocks are columns. The tree
 first splits the block counts of groups of sources, on the driver, and then those
@@ -72,16 +74,6 @@ def split_quotas(blocks: list[int], shards: int, rng: np.random.Generator, quota
     return out
 
 
-def _permutation(blocks: int, rng: np.random.Generator) -> tuple[int, int]:
-    """(multiplier, shift) of a permutation of the blocks."""
-    if blocks < 2:
-        return 1, 0
-    shift, multiplier = int(rng.integers(blocks)), int(rng.integers(1, blocks))
-    while math.gcd(multiplier, blocks) > 1:
-        multiplier = multiplier % blocks + 1
-    return multiplier, shift
-
-
 def _with_targets(lines: DataFrame) -> DataFrame:
     """``lines`` (source_size, weight) with ``target``, as ``targets`` gives it.
 
@@ -110,7 +102,7 @@ def _with_targets(lines: DataFrame) -> DataFrame:
 
 
 def _with_bounds(lines: DataFrame, shards: int, seed: int) -> DataFrame:
-    """``lines`` (rank, blocks) with multiplier, shift and bounds: ``bounds[j]`` blocks go to shards before j."""
+    """``lines`` (rank, blocks) with bounds: ``bounds[j]`` blocks go to shards before j."""
     lines = lines.withColumn("group", F.floor(F.col("rank") / F.lit(GROUP)).cast("long"))
     # A row per group of GROUP sources.
     groups = sorted((r["group"], r["blocks"]) for r in lines.groupBy("group").agg(F.sum("blocks").alias("blocks")).collect())
@@ -123,8 +115,7 @@ def _with_bounds(lines: DataFrame, shards: int, seed: int) -> DataFrame:
             rng = np.random.default_rng([seed, group])
             shares = split_quotas(blocks, shards, rng, quotas)
             bounds = np.concatenate((np.zeros((1, len(blocks)), np.int64), shares.cumsum(axis=0))).T.tolist()
-            multipliers, shifts = zip(*(_permutation(n, rng) for n in blocks), strict=True)
-            return batch_of(schema, {"line": ranks, "multiplier": multipliers, "shift": shifts, "bounds": bounds})
+            return batch_of(schema, {"line": ranks, "bounds": bounds})
 
         def run(batches: Iterator[pa.RecordBatch]):
             at, given, ranks, blocks = None, [], [], []
@@ -142,7 +133,7 @@ def _with_bounds(lines: DataFrame, shards: int, seed: int) -> DataFrame:
         return run
 
     dealt = lines.select("group", "rank", "blocks").join(table, "group").repartition("group").sortWithinPartitions("group", "rank")
-    found = map_batches(dealt, make, "line long, multiplier long, shift long, bounds array<long>")
+    found = map_batches(dealt, make, "line long, bounds array<long>")
     return lines.drop("group").join(found, F.col("rank") == F.col("line")).drop("line")
 
 
@@ -156,28 +147,62 @@ def recipe(sized: DataFrame, shards: int, block_words: int, seed: int) -> tuple[
     n, words = ranked.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
     block_words = max(block_words, math.ceil(SHARE * words / MAX_BLOCKS))
     lines = _with_targets(ranked).withColumn("quota", F.rint("target").cast("long"))
-    lines = lines.withColumn("blocks", F.ceil(F.col("quota") / F.lit(block_words)).cast("long"))
+    once = F.least("quota", "source_size")
+    turns = [F.ceil(q / F.lit(block_words)).cast("long") for q in (once, F.col("quota") - once)]
+    lines = lines.withColumns({"quotas": F.array(once, F.col("quota") - once), "turns": F.array(*turns), "blocks": turns[0] + turns[1]})
     lines = lines.withColumn("passes", F.when(F.col("quota") > F.col("source_size"), 2).otherwise(1))
     lines = lines.withColumn("span", F.col("passes") * F.col("source_size"))
     lines = with_running_sums(lines, ["rank"], ["span"]).withColumnRenamed("before_span", "base").drop("span", "weight")
     return cut(_with_bounds(lines, shards, seed)), n, block_words
 
 
+def _drawn(lines: DataFrame, block_words: int, seed: int) -> DataFrame:
+    """(line, in_pass, of_block, words, shard): the blocks that are drawn, how many of their words, and for which shard.
+
+    The whole blocks of a pass are permuted by a hash, numbered in its order; the
+    rest after the last whole block always has the last turn.
+    """
+    passes = lines.select("rank", "source_size", "bounds", F.posexplode("quotas").alias("pass", "words"), "turns")
+    passes = passes.where("words > 0").withColumns(
+        {"whole": F.floor(F.col("source_size") / F.lit(block_words)).cast("long"), "own": F.get("turns", F.col("pass")),
+         "before": F.when(F.col("pass") == 0, F.lit(0)).otherwise(F.get("turns", F.lit(0)))}
+    )
+    passes = cut(passes.drop("turns"))
+    blocks = passes.where("whole > 0").select("rank", "pass", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("block"))
+    blocks = blocks.withColumns({"dice": F.xxhash64(F.lit(seed + 2), "rank", "pass", "block"), "one": F.lit(1).cast("long")})
+    ordered = with_running_sums(blocks, ["rank", "pass", "dice", "block"], ["one"]).withColumnRenamed("before_one", "at")
+    ordered = cut(ordered.select("rank", "pass", "block", "at"))
+    first = ordered.groupBy("rank", "pass").agg(F.min("at").alias("first"))
+    permuted = ordered.join(first, ["rank", "pass"]).select("rank", "pass", "block", (F.col("at") - F.col("first")).alias("turn"))
+    permuted = passes.join(permuted, ["rank", "pass"]).where("turn < own")
+    rest = passes.where("own > whole").withColumns({"block": F.col("whole"), "turn": F.col("whole")})
+    turns = permuted.unionByName(rest)
+    in_source = F.col("before") + F.col("turn")
+    return turns.select(
+        F.col("rank").alias("line"),
+        F.col("pass").alias("in_pass"),
+        F.col("block").alias("of_block"),
+        F.least(F.lit(block_words), F.col("words") - F.col("turn") * F.lit(block_words)).alias("drawn_words"),
+        (F.size(F.filter("bounds", lambda b: b <= in_source)) - 1).alias("shard"),
+    )
+
+
 def plan(
     docs: DataFrame, shards: int = 16, block_words: int = 8192, seed: int = 42, keys: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """What the mix takes: (documents, pieces).
 
     documents: doc_id, size, source_size, target, taken and ``keys``, a row per row of ``docs``.
-    pieces: doc_id, source, pass, position (in the source's stream), size, taken,
-    block, shard, place (order within the shard) and ``keys``, a row per document
-    and pass of which words are taken.
+    pieces: doc_id, source, pass, position (of the document in the pass), size,
+    start (words of the document before the piece), taken, block, shard, place
+    (order within the shard) and ``keys``, a row per document, pass and block of
+    which words are taken.
 
     A null text has size 0, a null source is a source of its own. Repeated rows
     are documents of their own. No source, or no word at all: nothing is taken. A
-    source takes its target, rounded to whole words: only the document where the
-    target ends is cut. There may be any number of sources, as long as they and
-    ``MAX_BLOCKS`` are under 10^9 together, where the draws end.
+    source takes its target, rounded to whole words. There may be any number of
+    sources; blocks get longer where there would be more than ``MAX_BLOCKS``, as
+    the draws end at 10^9.
     """
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -188,60 +213,67 @@ def plan(
     )
     sized = cut(sized)
     lines, n_sources, block_words = recipe(sized, shards, block_words, seed)
-    table = F.broadcast(lines) if n_sources <= FEW_SOURCES else lines
+    facts = lines.select("name", "rank", "passes", "source_size", "target", "base")
+    table = F.broadcast(facts) if n_sources <= FEW_SOURCES else facts
     joined = sized.join(table, F.col("source").eqNullSafe(F.col("name")))
     taken_in = F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("pass")
-    narrow = joined.select("doc_id", "size", "rank", "tie", taken_in, *keys)
+    narrow = joined.select("doc_id", "size", "rank", "name", "tie", F.col("base"), "source_size", taken_in, *keys)
     narrow = narrow.withColumn("dice", F.xxhash64(F.lit(seed), "pass", "doc_id", "size"))
     placed = with_running_sums(narrow, ["rank", "pass", "dice", "tie"], ["size"])
-    placed = placed.join(table, "rank").withColumn("position", F.col("before_size") - F.col("base"))
-    room = F.greatest(F.lit(0), F.least(F.col("size"), F.col("quota") - F.col("position")))
-    placed = cut(placed.withColumn("taken", room))
-    documents = placed.groupBy("tie", "doc_id", "size", "source_size", "target", *keys).agg(F.sum("taken").alias("taken"))
-    documents = documents.select("doc_id", "size", "source_size", "target", "taken", *keys)
-    block = F.floor(F.col("position") / F.lit(block_words))
-    ranked = placed.where("taken > 0").withColumn("block", block.cast("long"))
-    turn = F.pmod(F.col("block") * F.col("multiplier") + F.col("shift"), F.col("blocks")).alias("turn")
-    ranked = ranked.withColumn("turn", turn)
-    shard = F.size(F.filter("bounds", lambda b: b <= F.col("turn"))) - 1
-    pieces = ranked.withColumn("shard", shard).withColumn("place", F.xxhash64(F.lit(seed + 1), "block", "pass", "doc_id"))
-    return documents, pieces.select(
-        "doc_id", F.col("name").alias("source"), "pass", "position", "size", "taken", "block", "shard", "place", *keys
+    position = F.col("before_size") - F.col("base") - F.col("pass") * F.col("source_size")
+    placed = placed.where("size > 0").withColumn("position", position)
+    block_of = lambda word: F.floor(word / F.lit(block_words)).cast("long")
+    parts = F.sequence(block_of(F.col("position")), block_of(F.col("position") + F.col("size") - 1))
+    parts = placed.withColumn("block", F.explode(parts))
+    at = (F.col("rank") == F.col("line")) & (F.col("pass") == F.col("in_pass")) & (F.col("block") == F.col("of_block"))
+    met = parts.join(_drawn(lines, block_words, seed), at)
+    opens = F.col("block") * F.lit(block_words)
+    start = F.greatest(F.lit(0), opens - F.col("position"))
+    end = F.least(F.col("size"), opens + F.col("drawn_words") - F.col("position"))
+    pieces = met.withColumns({"start": start, "taken": end - start}).where("taken > 0")
+    place = F.xxhash64(F.lit(seed + 1), "block", "pass", "doc_id", "start")
+    pieces = cut(pieces.withColumn("place", place).select(
+        "doc_id", F.col("name").alias("source"), "pass", "position", "size", "start", "taken", "block", "shard", "place", "tie", *keys
+    ))
+    taken = pieces.groupBy(F.col("tie").alias("of")).agg(F.sum("taken").alias("taken"))
+    documents = joined.join(taken, F.col("tie") == F.col("of"), "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *keys
     )
+    return documents, pieces.drop("tie")
 
 
-def first_words(text, n):
-    """``text`` up to the end of its n-th word."""
-    # Greedy up to the word's end; each match is one word with the white space before it.
+def some_words(text, start, n):
+    """Words ``start`` to ``start + n`` of a text, with the white space before each of them."""
     parts = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    return F.array_join(F.slice(parts, 1, n), "")
+    return F.array_join(F.slice(parts, (start + 1).cast("int"), n.cast("int")), "")
 
 
 def mix(docs: DataFrame, shards: int = 16, block_words: int = 8192, seed: int = 42) -> DataFrame:
     """The mixed documents with the columns of ``docs``, shard by shard, each in random order.
 
-    A document taken twice is two rows; where a target ends within a document,
-    its text is cut after the last word taken (``n_chars``, if there is such a
-    column, then follows). Documents without words are not taken.
+    A document taken twice is two rows, and so is one that lies in several blocks:
+    each has the words of its block (``n_chars``, if there is such a column, then
+    follows). Documents without words are not taken. Rows are told apart by doc_id
+    and text, source and the columns that can be hashed; maps are left out there.
     """
     key = "_mix"
     while any(c.startswith(key) for c in docs.columns):
         key += "_"
     # Rows are named by all they hold; rows that hold the same are interchangeable, so one of them stands for all.
-    own = [F.col(c) for c in docs.columns]
+    own = [F.col(f.name) for f in docs.schema if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     absent = [c.isNull() for c in own]
     names = {key + "1": F.xxhash64(F.lit(1), *own, *absent), key + "2": F.xxhash64(F.lit(2), *own, *absent)}
     named = docs.withColumns(names)
     _, pieces = plan(named, shards, block_words, seed, keys=tuple(names))
-    wanted = pieces.select(*names, F.struct("size", "taken", "shard", "place", "pass").alias(key + "p"))
+    wanted = pieces.select(*names, F.struct("size", "start", "taken", "shard", "place", "pass").alias(key + "p"))
     joined = named.dropDuplicates(list(names)).join(wanted, list(names))
     part = F.col(key + "p")
     short = part["taken"] < part["size"]
-    changed = {"text": F.when(short, first_words(F.col("text"), part["taken"].cast("int"))).otherwise(F.col("text"))}
+    changed = {"text": F.when(short, some_words(F.col("text"), part["start"], part["taken"])).otherwise(F.col("text"))}
     mixed = joined.withColumns(changed)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         mixed = mixed.withColumn("n_chars", F.when(short, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    mixed = mixed.withColumns({key + "s": part["shard"], key + "o": part["place"], key + "q": part["pass"]})
-    order = [key + "s", key + "o", *names, key + "q"]
+    mixed = mixed.withColumns({key + "s": part["shard"], key + "o": part["place"], key + "q": part["pass"], key + "b": part["start"]})
+    order = [key + "s", key + "o", *names, key + "q", key + "b"]
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
