@@ -27,12 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from themewell.llm.arrow import batch_of, bound_batches, map_batches
+from themewell.session import cut
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 NGRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANGUAGE = 400  # labelled rows per language for training and calibration, about
+FEW_LANGUAGES = 10_000
 EPOCHS = 6
 RATE = 0.5
 TARGET_ERROR = 0.01  # of what is accepted on the calibration rows
@@ -203,8 +205,9 @@ def fit(docs: DataFrame, learn: Column | None = None, per_language: int = SAMPLE
     if learn is not None:
         usable = usable.where(learn)
     usable = usable.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    # A row per language.
-    share = usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(per_language) / F.count("*")).alias("share"))
+    # A row per language; sent to all tasks if few, so that whole texts are not dealt out by language.
+    share = cut(usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(per_language) / F.count("*")).alias("share")))
+    share = F.broadcast(share) if share.count() <= FEW_LANGUAGES else share
     dice = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     # Bounded by languages x rows per language, whatever the table.
     sample = usable.join(share, "lang").where(dice < F.col("share")).select("text", "lang").collect()
