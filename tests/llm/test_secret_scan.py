@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import numpy as np
 
@@ -149,4 +150,39 @@ def test_decoys_that_were_made_are_what_counts():
     assert secret_scan.thresholds({(5, 30): 40}, {(5, 0): 2})[5] == secret_scan.BINS
     assert secret_scan.thresholds({(5, 30): 400}, {})[5] == secret_scan.BINS
     assert secret_scan.thresholds({(5, 30): 40}, {(5, 0): 320})[5] <= 30
-    assert len(secret_scan.decoys("x", 0, 1, [], others=lambda: "abcdefghij")) == 8
+    assert len(secret_scan.decoys("x", 0, 1, secret_scan.Words("x", [(0, 1)]), others=lambda: "abcdefghij")) == 8
+
+
+def test_long_texts_take_time_in_proportion():
+    rng = np.random.default_rng(5)
+    alphabet = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    lines = ["".join(x) for x in alphabet[rng.integers(0, 64, (20_000, 76))]]
+    text = "some words before it\n" + "\n".join(lines)
+    began = time.process_time()
+    found = secret_scan.candidates(text, secret_scan.known_spans(text))
+    words = secret_scan.Words(text, found)
+    made = [d for s, e in found for d in secret_scan.decoys(text, s, e, words, others=lambda: "word" * 60_000)]
+    chances = secret_scan.combined_all([text[s:e] for s, e in found] + made)
+    assert time.process_time() - began < 20 and len(chances) == len(found) + len(made) and len(found) >= 20_000
+    inside = secret_scan.wholes(found)
+    assert all(i < 0 or found[i][0] <= s and e <= found[i][1] for i, (s, e) in zip(inside, found, strict=True))
+
+
+def test_spans_and_words_as_by_comparing_all():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        spans = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 90, 6), rng.integers(1, 12, 6), strict=True)]
+        taken = secret_scan._Taken(spans)
+        for start in range(0, 95, 3):
+            for end in (start + 1, start + 7):
+                assert taken.meets(start, end) == any(s < end and start < e for s, e in spans)
+        text = "".join(rng.choice(list("ab1 ./"), 100))
+        words = secret_scan.Words(text, spans)
+        free = [m for m in re.finditer("[A-Za-z0-9]+", text) if not any(s < m.end() and m.start() < e for s, e in spans)]
+        assert words.words == [m[0] for m in free if len(m[0]) < secret_scan.SHORTEST]
+        later = [m[0] for m in free if m.start() >= spans[0][1]]
+        earlier = [m[0] for m in free if m.start() < spans[0][1]]
+        assert words.around(spans[0][1], 30) == "".join(later + earlier)[:30]
+    found = [(0, 90), (3, 30), (40, 90), (100, 130), (100, 125)]
+    longer = [[j for j, b in enumerate(found) if b[0] <= a[0] and a[1] <= b[1] and a != b] for a in found]
+    assert secret_scan.wholes(found) == [(j or [-1])[0] for j in longer]

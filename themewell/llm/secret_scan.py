@@ -21,7 +21,9 @@ import hashlib
 import math
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ DECOYS = 8  # per candidate, as far as there are words
 SPARE = 1 << 18  # characters of words that a task keeps for texts with too few
 RATE = 0.05  # false discoveries among what is reported beside the known forms
 BINS = 64  # steps of the score, from chances of 1e-16 to 1
+SPAN_LOT = 2000  # candidates whose decoys are held at a time
+TOGETHER = 1 << 20  # characters that are tested at a time
 LENGTHS = (20, 24, 32, 48, 64, 128)  # lower ends of the classes of lengths
 
 _ASSIGN = re.compile(
@@ -59,7 +63,16 @@ ENCODINGS = (
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
-_VALUES = [(name, len(a), {c: i for i, c in enumerate(a)}) for name, a in ENCODINGS]
+_ALPHABETS = [(name, frozenset(a)) for name, a in ENCODINGS]
+
+
+def _table(alphabet: str) -> np.ndarray:
+    out = np.full(256, -1, np.int16)
+    out[np.frombuffer(alphabet.encode(), np.uint8)] = np.arange(len(alphabet))
+    return out
+
+
+_TABLES = [(len(a), _table(a)) for _, a in ENCODINGS]
 
 
 # ---- known forms ------------------------------------------------------------
@@ -87,63 +100,88 @@ def shown(spans: list[tuple[int, int, int]]) -> str:
 # ---- tests of randomness ----------------------------------------------------
 
 
-def infer(code: str) -> tuple[str, int, np.ndarray] | None:
-    """(encoding, size of its alphabet, values) of the first encoding that has all characters."""
-    body = code.rstrip("=")
-    for name, size, values in _VALUES:
-        try:
-            return name, size, np.array([values[c] for c in body])
-        except KeyError:
-            continue
-    return None
+def infer(code: str) -> str | None:
+    """The first encoding that has all characters."""
+    body = set(code.rstrip("="))
+    return next((name for name, alphabet in _ALPHABETS if body <= alphabet), None)
 
 
 def _upper_normal(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def uniformity(values: np.ndarray, size: int) -> float:
-    """Chance of counts at least as uneven, by the cube-root approximation of chi-squared."""
-    n, free = len(values), size - 1
-    counts = np.bincount(values, minlength=size).astype(float)
-    x = float((counts * counts).sum()) * size / n - n
+def _chances(zs: np.ndarray) -> np.ndarray:
+    return np.array([_upper_normal(z) for z in zs])
+
+
+def uniformity(values: np.ndarray, size: int) -> np.ndarray:
+    """Chance of counts at least as uneven, by the cube-root approximation of chi-squared; values by rows."""
+    values = np.atleast_2d(values)
+    rows, n = values.shape
+    free = size - 1
+    counts = np.bincount((values + size * np.arange(rows)[:, None]).ravel(), minlength=rows * size).reshape(rows, size).astype(float)
+    x = (counts * counts).sum(axis=1) * size / n - n
     spread = 2 / (9 * free)
-    return _upper_normal(((max(x, 1e-9) / free) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    return _chances(((np.maximum(x, 1e-9) / free) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
 
 
-def runs(values: np.ndarray, size: int) -> float:
-    """Two-sided chance of the number of runs above and below the middle of the alphabet."""
-    high = values >= size / 2
-    n1, n2 = int(high.sum()), int((~high).sum())
-    n = n1 + n2
-    if not n1 or not n2:
-        return 2.0 ** (1 - n)
-    seen = 1 + int((high[1:] != high[:-1]).sum())
+def runs(values: np.ndarray, size: int) -> np.ndarray:
+    """Two-sided chance of the number of runs above and below the middle of the alphabet; values by rows."""
+    high = np.atleast_2d(values) >= size / 2
+    n = high.shape[1]
+    n1 = high.sum(axis=1)
+    n2 = n - n1
+    seen = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
     mean = 1 + 2 * n1 * n2 / n
-    var = (mean - 1) * (mean - 2) / (n - 1)
+    var = (mean - 1) * (mean - 2) / max(1, n - 1)
     # All on one side is unlikely as such; half sides are what is expected.
-    return min(1.0, 2 * _upper_normal(abs(seen - mean) / math.sqrt(max(var, 1e-9))))
+    both = np.minimum(1.0, 2 * _chances(np.abs(seen - mean) / np.sqrt(np.maximum(var, 1e-9))))
+    return np.where((n1 == 0) | (n2 == 0), 2.0 ** (1 - n), both)
+
+
+def serial(values: np.ndarray, size: int) -> np.ndarray:
+    """Two-sided chance of the correlation of neighbours; values by rows."""
+    x = np.atleast_2d(values) - (size - 1) / 2
+    n = x.shape[1]
+    whole = (x * x).sum(axis=1)
+    r = np.abs((x[:, 1:] * x[:, :-1]).sum(axis=1)) / np.where(whole == 0, 1, whole)
+    return np.where((n < 3) | (whole == 0), 1.0, np.minimum(1.0, 2 * _chances(r * math.sqrt(n))))
 
 
-def serial(values: np.ndarray, size: int) -> float:
-    """Two-sided chance of the correlation of neighbours."""
-    x = values - (size - 1) / 2
-    n = len(x)
-    whole = float((x * x).sum())
-    if n < 3 or not whole:
-        return 1.0
-    r = float((x[1:] * x[:-1]).sum()) / whole
-    return min(1.0, 2 * _upper_normal(abs(r) * math.sqrt(n)))
+def combined_all(codes: list[str]) -> list[float]:
+    """For each code the chance that random symbols look at least as odd in all three tests (Fisher).
+
+    0 for no encoding or digits only. Codes of one length are tested together.
+    """
+    out = [0.0] * len(codes)
+    by_length: dict[int, list[int]] = {}
+    bodies = [c.rstrip("=") for c in codes]
+    for i, body in enumerate(bodies):
+        if body and body.isascii() and not body.isdigit():
+            by_length.setdefault(len(body), []).append(i)
+    for n, group in by_length.items():
+        step = max(1, TOGETHER // n)
+        for at in range(0, len(group), step):
+            rows = np.array(group[at : at + step])
+            signs = np.frombuffer("".join(bodies[i] for i in rows).encode(), np.uint8).reshape(len(rows), n)
+            for size, table in _TABLES:
+                values = table[signs]
+                fits = (values >= 0).all(axis=1)
+                if fits.any():
+                    half = np.zeros(int(fits.sum()))
+                    for test in (uniformity, runs, serial):
+                        half -= np.log(np.maximum(test(values[fits], size), 1e-300))
+                    chance = np.minimum(1.0, np.exp(-half) * (1 + half + half * half / 2))  # chi-squared of 6 degrees
+                    for i, p in zip(rows[fits].tolist(), chance.tolist(), strict=True):
+                        out[i] = p
+                    rows, signs = rows[~fits], signs[~fits]
+                if not len(rows):
+                    break
+    return out
 
 
 def combined(code: str) -> float:
-    """Chance that random symbols look at least as odd in all three tests (Fisher); 0 for no encoding or digits only."""
-    found = infer(code)
-    if found is None or code.isdigit():
-        return 0.0
-    _, size, values = found
-    half = -sum(math.log(max(t(values, size), 1e-300)) for t in (uniformity, runs, serial))
-    return min(1.0, math.exp(-half) * (1 + half + half * half / 2))  # chi-squared of 6 degrees
+    return combined_all([code])[0]
 
 
 def score_bin(chance: float) -> int:
@@ -155,45 +193,81 @@ def length_class(n: int) -> int:
     return sum(n >= x for x in LENGTHS) - 1
 
 
+class _Taken:
+    """Spans merged into disjoint ones, so that an overlap is found by one search."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end) - 1
+        return i >= 0 and self.ends[i] > start
+
+
 def candidates(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Runs of code characters beside the known spans that an alphabet holds, and the parts of all runs; parts lie in others."""
     out = set()
+    taken = _Taken((s, e) for s, _, e in known)
     for run in _RUN.finditer(text):
         for m in (m for code in _CODES for m in code.finditer(run[0])):
             start, end = run.start() + m.start(), run.start() + m.end()
-            if infer(m[0]) is not None and not any(s < end and start < e for s, _, e in known):
+            if not taken.meets(start, end) and infer(m[0]) is not None:
                 out.add((start, end))
     return sorted(out)
 
 
-def _spare_words(text: str, low: int, high: int, taken: list[tuple[int, int]], need: int) -> list[str]:
-    """Words of ``text`` between ``low`` and ``high`` and outside of ``taken``, until there are ``need`` characters."""
-    words: list[str] = []
-    have = 0
-    for m in _PLAIN.finditer(text, low, high):
-        if have >= need:
-            break
-        if len(m[0]) < SHORTEST and not any(s < m.end() and m.start() < e for s, e in taken):
-            words.append(m[0])
-            have += len(m[0])
-    return words
+def wholes(found: list[tuple[int, int]]) -> list[int]:
+    """For each candidate the number of the longer one around it, or -1. There is one at most: whole runs are disjoint."""
+    out = [-1] * len(found)
+    last = -1
+    for i in sorted(range(len(found)), key=lambda i: (found[i][0], -found[i][1])):
+        if last >= 0 and found[i][1] <= found[last][1]:
+            out[i] = last
+        else:
+            last = i
+    return out
+
+
+class Words:
+    """The short words of a text outside of the taken spans, joined, and the places where they begin; read once per text."""
+
+    def __init__(self, text: str, taken: list[tuple[int, int]]) -> None:
+        spans = _Taken(taken)
+        words = [m for m in _PLAIN.finditer(text) if m.end() - m.start() < SHORTEST and not spans.meets(*m.span())]
+        self.words = [m[0] for m in words]
+        self.starts = [m.start() for m in words]
+        self.before = [0, *accumulate(map(len, self.words))]
+        self.joined = "".join(self.words)
+
+    def around(self, at: int, need: int) -> str:
+        """``need`` characters from the words from place ``at`` on, going round at the end of the text, or all there are."""
+        first = self.before[bisect_left(self.starts, at)]
+        out = self.joined[first : first + need]
+        return out + self.joined[: min(first, need - len(out))]
 
 
 def decoys(
-    text: str, start: int, end: int, taken: list[tuple[int, int]], count: int = DECOYS, others: Callable[[], str] = str
+    text: str, start: int, end: int, words: Words, count: int = DECOYS, others: Callable[[], str] = str
 ) -> list[str]:
-    """Strings as long as the candidate, from the words of ``text`` outside of ``taken``, from different places.
+    """Strings as long as the candidate, from the words of ``text`` outside of all spans, from different places.
 
     Slashes, dashes and the like stand where the candidate has them, so that paths are held against words in paths.
     Where these are too few, ``others()`` gives letters and digits of other texts.
     """
     need = end - start
-    # Words from around the candidate on, going round at the end of the text.
-    joined = "".join(_spare_words(text, end, len(text), taken, need * count))
-    joined += "".join(_spare_words(text, 0, start, taken, need * count - len(joined)))
+    joined = words.around(end, need * count)
     if len(joined) < need * count and (more := others()):
         at = zlib.crc32(text[start:end].encode("utf-8", "surrogatepass")) % len(more)
-        joined += (more[at:] + more[:at])[: need * count - len(joined)]
+        want = need * count - len(joined)
+        joined += more[at : at + want]
+        joined += more[: max(0, min(at, need * count - len(joined)))]
     signs = [(i, c) for i, c in enumerate(text[start:end]) if not c.isalnum()]
     out = []
     for at in range(0, min(count, len(joined) // need) * need, need):
@@ -225,7 +299,7 @@ class _Spare:
                 text = t.as_py() or ""
                 known = known_spans(text)
                 taken = [(s, e) for s, _, e in known] + candidates(text, known)
-                new = dict.fromkeys(w for w in _spare_words(text, 0, len(text), taken, SPARE) if w not in words)
+                new = dict.fromkeys(w for w in Words(text, taken).words if w not in words)
                 words |= new
                 have += sum(map(len, new))
                 if have >= SPARE:
@@ -241,7 +315,7 @@ class _Spare:
 _FOUND = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, "
     "base array<struct<start: int, kind: int, end: int>>, "
-    "more array<struct<start: int, kind: int, end: int, class: int, bin: int>>, decoys array<int>"
+    "more array<struct<start: int, kind: int, end: int, class: int, bin: int, over_class: int, over_bin: int>>, decoys array<int>"
 )
 
 
@@ -251,12 +325,17 @@ def _scanned(docs: DataFrame) -> DataFrame:
             known = known_spans(text)
             found = candidates(text, known)
             taken = [(s, e) for s, _, e in known] + found
+            kinds = [length_class(end - start) for start, end in found]
+            bins = [score_bin(p) for p in combined_all([text[s:e] for s, e in found])]
             more, odd = [], []
-            for start, end in found:
-                kind = length_class(end - start)
-                b = score_bin(combined(text[start:end]))
-                more.append({"start": start, "kind": 3, "end": end, "class": kind, "bin": b})
-                odd += [kind * BINS + score_bin(combined(d)) for d in decoys(text, start, end, taken, others=spare)]
+            for i, of in enumerate(wholes(found)):
+                over = (kinds[of], bins[of]) if of >= 0 else (0, -1)
+                start, end = found[i]
+                more.append({"start": start, "kind": 3, "end": end, "class": kinds[i], "bin": bins[i], "over_class": over[0], "over_bin": over[1]})
+            words = Words(text, taken) if found else None
+            for at in range(0, len(found), SPAN_LOT):
+                made = [(kinds[i], d) for i in range(at, min(at + SPAN_LOT, len(found))) for d in decoys(text, *found[i], words, others=spare)]
+                odd += [kind * BINS + score_bin(p) for (kind, _), p in zip(made, combined_all([d for _, d in made]), strict=True)]
             counts = [sum(k == i for _, k, _ in known) for i in range(3)]
             digest = hashlib.sha256(shown(known).encode()).hexdigest()
             base = [{"start": s, "kind": k, "end": e} for s, k, e in known]
@@ -312,8 +391,7 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     false = {divmod(r["d"], BINS): r["count"] for r in odd}
     least = F.array(*[F.lit(b) for b in thresholds(targets, false, rate)])
     passed = F.filter("more", lambda m: m["bin"] >= least[m["class"]])
-    around = lambda m: lambda x: (x["start"] <= m["start"]) & (x["end"] >= m["end"]) & (x["end"] - x["start"] > m["end"] - m["start"])
-    taken = F.filter(passed, lambda m: ~F.exists(passed, around(m)))
+    taken = F.filter(passed, lambda m: m["over_bin"] < least[m["over_class"]])  # none longer around it is reported
     plain = F.transform(taken, lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end")))
     names = F.array(*[F.lit(k) for k in KINDS])
     spans = F.transform(
