@@ -1,6 +1,8 @@
 import hashlib
+import tracemalloc
 
 import pytest
+import xxhash
 
 from samples import ODD, docs_of, none, odd  # noqa: F401
 
@@ -44,3 +46,24 @@ def test_table_compares_contents_of_equal_codes():
     table = grace.ContentTable(slots=2)
     assert [table.add(3, b"a"), table.add(3, b"b"), table.add(3, b"a"), table.add(7, b"c")] == [
         (0, True), (1, True), (0, False), (2, True)]
+
+
+def test_the_budget_counts_what_short_texts_hold():
+    texts = [b"%08d" % i for i in range(200_000)]
+    codes = [xxhash.xxh64_intdigest(t) for t in texts]
+    tracemalloc.start()
+    table, ids, counts, last = grace.ContentTable(), [], [], []
+    for i, (code, text) in enumerate(zip(codes, texts, strict=True)):
+        table.add(code, bytes(bytearray(text)))
+        ids.append(i + (1 << 40))
+        counts.append(1)
+        last.append((i + (1 << 41), i + (1 << 40)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held <= table.bytes <= 4 * held
+
+
+def test_many_short_texts_are_parted(docs_of):
+    docs = docs_of([(i, str(i % 3000), "en", "web") for i in range(6000)])
+    got = grace.deduplicate(docs, budget=100_000).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(i, i % 3000 + 3000, 2, i >= 3000) for i in range(6000)}

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from themewell.llm.arrow import batch_of, map_batches, partition_id, texts_of
 from themewell.session import cut
 
-BUDGET = 64 << 20  # bytes of different contents in one table
+BUDGET = 64 << 20  # bytes of one table: different contents, and what each entry and record takes beside them
+ENTRY = 400  # bytes of an entry beside its content: slot, hash, objects, counts, answer; measured
+RECORD = 120  # bytes of a record in the lists of its bucket
 STEP_BITS = 4
 
 
@@ -49,7 +51,7 @@ class ContentTable:
         self.slots[at] = i
         self.hashes.append(code)
         self.contents.append(content)
-        self.bytes += len(content)
+        self.bytes += len(content) + ENTRY
         if 2 * len(self.contents) > len(self.slots):
             self._grow()
         return i, True
@@ -182,12 +184,13 @@ def deduplicate(docs: DataFrame, budget: int = BUDGET, hash64=xxhash.xxh64_intdi
     """
     spilled = cut(_spill(texts_of(docs), budget, hash64))
     records = spilled.where("head").drop("head", "row")
-    total = records.agg(F.sum("bytes")).head()[0] or 0
+    total = records.agg(F.sum(F.col("bytes") + ENTRY + RECORD)).head()[0] or 0
     bits = min(48, max(0, math.ceil(math.log2(max(1.0, 4 * total / budget)))))
     done = []
     while True:
         records = _bucketed(records, bits)
-        contents = records.groupBy("bucket", "code").agg(F.max("bytes").alias("bytes"))
+        held = F.max("bytes") + F.lit(ENTRY) + F.count("*") * RECORD
+        contents = records.groupBy("bucket", "code").agg(held.alias("bytes"))
         sizes = contents.groupBy("bucket").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("codes"))
         # A single code cannot be parted further; its table holds each different content once anyway.
         large = cut(sizes.where((F.col("bytes") > budget) & (F.col("codes") > 1)).select("bucket"))
