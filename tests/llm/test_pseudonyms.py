@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 
@@ -114,3 +115,33 @@ def test_national_numbers_permute_among_themselves():
         assert P.replace(P.replace(v, KEY)[0], KEY, back=True)[0] == v
     for text in ("0.12 0.345 0.6789", "001 002 003 004", "1984-03-12Tuesday"):
         assert P.replace(text, KEY) == (text, [])
+
+
+def test_a_day_has_one_pseudonym_in_all_spellings():
+    for i in range(0, P.DAYS, 61):
+        day = datetime.date.fromordinal(P.FIRST_DAY + i)
+        y, m, d = day.year, day.month, day.day
+        new = datetime.date.fromisoformat(P.pseudonym("date", day.isoformat(), KEY))
+        spellings = {
+            f"{d:02d}.{m:02d}.{y}": f"{new.day:02d}.{new.month:02d}.{new.year}",
+            f"{m:02d}/{d:02d}/{y}": f"{new.month:02d}/{new.day:02d}/{new.year}",
+            f"{m}/{d}/{y}": f"{new.month}/{new.day}/{new.year}",
+            f"{y}/{m}/{d}": f"{new.year}/{new.month}/{new.day}",
+        }
+        if d > 12:
+            spellings[f"{d:02d}/{m:02d}/{y}"] = f"{new.day:02d}/{new.month:02d}/{new.year}"
+        for old, want in spellings.items():
+            assert P.pseudonym("date", old, KEY) == want
+            assert P.pseudonym("date", want, KEY, back=True) == old
+
+
+def test_every_day_of_a_sort_is_reached_once():
+    days, places = P._days()
+    assert sorted(d for sort in days for d in sort) == list(range(P.DAYS))
+    assert all(days[s][k] == d for d, (s, k) in enumerate(places))
+
+
+def test_many_values_take_time_in_proportion():
+    text = " ".join(f"on {1950 + i % 90}-0{1 + i % 9}-1{i % 10} we met;" for i in range(20_000))
+    began = time.process_time()
+    assert len(P.find(text)) == 20_000 and time.process_time() - began < 5

@@ -6,7 +6,9 @@ is permuted by a Feistel network with a secret key, walking on while it leaves t
 range, and written back in the same format: a card number stays a valid card
 number of the same length and spacing, a date a date. As it is a permutation,
 equal values have equal pseudonyms in all documents, different values different
-ones, and who has the key can undo it.
+ones, and who has the key can undo it. A day has one pseudonym in all its spellings;
+it keeps whether its number can be a month's, and whether month and day have two
+digits, as else some spellings could not be read back.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -196,15 +199,31 @@ def date(text: str, key: bytes, back: bool = False) -> str | None:
 
 
 def _written(day: int, order: str, sign: str, padded: bool, key: bytes, back: bool) -> str:
-    """Walks on until the new day, written in the same way, can only be read in that way."""
+    """The new day is the same for all spellings of a day, and of its sort, so that it can only be read as it is written."""
     width = 2 if padded else 1
-    while True:
-        day = permute(day, DAYS, key, b"date", back)
-        new = datetime.date.fromordinal(FIRST_DAY + day)
-        told = padded or new.month < 10 or new.day < 10
-        if told and (sign != "/" or order != "dmy" or new.day > 12):
-            shown = {"y": f"{new.year:04d}", "m": f"{new.month:0{width}d}", "d": f"{new.day:0{width}d}"}
-            return sign.join(shown[f] for f in order)
+    days, places = _days()
+    sort, place = places[day]
+    place = permute(place, len(days[sort]), key, b"date%d" % sort, back)
+    new = datetime.date.fromordinal(FIRST_DAY + days[sort][place])
+    shown = {"y": f"{new.year:04d}", "m": f"{new.month:0{width}d}", "d": f"{new.day:0{width}d}"}
+    return sign.join(shown[f] for f in order)
+
+
+def _sort(day: datetime.date) -> int:
+    """Whether the day can be a month's number, and whether month and day both have two digits without a zero before them."""
+    return 2 * (day.day > 12) + (day.month >= 10 and day.day >= 10)
+
+
+@lru_cache(maxsize=1)
+def _days() -> tuple[list[list[int]], list[tuple[int, int]]]:
+    """The days of each sort, and for each day its sort and its place there."""
+    days: list[list[int]] = [[], [], [], []]
+    places = []
+    for day in range(DAYS):
+        sort = _sort(datetime.date.fromordinal(FIRST_DAY + day))
+        places.append((sort, len(days[sort])))
+        days[sort].append(day)
+    return days, places
 
 
 def phone(text: str, key: bytes, back: bool = False) -> str | None:
@@ -281,15 +300,16 @@ _FORMS = {
 
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all that looks like a value and is valid, left to right."""
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []  # sorted; no two overlap
 
     def offer(kind: str, low: int, high: int) -> None:
         at = low
         while m := _FORMS[kind].search(text, at, high):
             start, end = m.span()
-            free = all(e <= start or end <= s for s, e, _ in taken)
+            i = bisect_left(taken, (end,))  # the last one that starts before the end
+            free = not i or taken[i - 1][1] <= start
             if free and _VALUE[kind](m[0], b"") is not None:
-                taken.append((start, end, kind))
+                taken.insert(i, (start, end, kind))
                 at = end
             else:
                 at = start + 1
@@ -303,7 +323,7 @@ def find(text: str) -> list[tuple[int, int, str]]:
         for low, high in regions:
             offer(kind, low, high)
     # Values end at a region's border only if the text does not go on there.
-    return sorted((s, e, k) for s, e, k in taken if _whole(text, s, e, k))
+    return [(s, e, k) for s, e, k in taken if _whole(text, s, e, k)]
 
 
 def _whole(text: str, start: int, end: int, kind: str) -> bool:
