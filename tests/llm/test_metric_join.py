@@ -67,3 +67,23 @@ def test_odd_rows(spark):
     want = [(-1, 0, None, None)] + [(i, linked.get(i, 0), 1 if i in linked else i, i not in (2, 12, 13)) for i in [1, *range(1, 14)]]
     assert got == sorted(want, key=lambda r: (r[0], r[1]))
     assert metric_join.near_vectors(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("spread", [0.02, 5.0])
+def test_cells_never_compute_more_than_all_pairs(spark, spread):
+    """Clustered vectors are pruned; for those without structure each pair is still computed once at most."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for c in range(40):
+        centre = rng.normal(size=16)
+        for k in range(60):
+            v = centre + rng.normal(0, spread, 16)
+            rows.append((c * 60 + k, v.tolist(), 0))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    one = metric_join.work(df, cell_rows=10_000, tile=100).first()
+    many = metric_join.work(df, cell_rows=50, tile=100).first()
+    assert one.vectors == many.vectors == len(rows) and one.all_pairs == 2400 * 2401 // 2
+    assert many.copies > one.copies == 2400
+    assert many.computed <= 1.15 * one.all_pairs
+    if spread < 1:
+        assert many.computed <= 0.5 * one.computed

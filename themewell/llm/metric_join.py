@@ -26,8 +26,9 @@ from themewell.llm.arrow import batch_of, map_batches
 from themewell.llm.components import components, merge
 from themewell.session import cut
 
-CELL_ROWS = 2000  # vectors per pivot, while that gives few enough pivots
+CELL_ROWS = 500  # vectors per pivot, while that gives few enough pivots
 MAX_PIVOTS = 2048  # in all, besides one per label at most
+PIVOT_BYTES = 16 << 20  # of these pivots, which every task is sent
 TILE = 4096  # rows of a cell that meet at a time
 SLACK = 1e-9  # for rounding of distances, which only decide who meets
 
@@ -57,9 +58,10 @@ def _pivots(nodes: DataFrame, cell_rows: int, max_pivots: int) -> tuple[dict[tup
 
     Labels with fewer rows than a cell have none and are one cell.
     """
-    total = nodes.count()
-    cell = max(cell_rows, math.ceil(total / max_pivots))
     width = F.size("v")
+    total, widest = nodes.agg(F.count("*"), F.max(width)).head()
+    max_pivots = max(1, min(max_pivots, PIVOT_BYTES // (8 * (widest or 1))))
+    cell = max(cell_rows, math.ceil(total / max_pivots))
     large = nodes.groupBy("label", width.alias("width")).count().where(F.col("count") > cell)
     # At most total / cell, so at most max_pivots labels, and in all about twice as many pivots.
     shares = {(r["label"], r["width"]): min(1.0, 1.0 / cell) for r in large.collect()}
@@ -67,9 +69,11 @@ def _pivots(nodes: DataFrame, cell_rows: int, max_pivots: int) -> tuple[dict[tup
         return {}, cell
     wanted = large.select(F.col("label").alias("_l"), F.col("width").alias("_w"))
     dice = F.pmod(F.xxhash64(F.lit(11), "v"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = nodes.where(dice < 1.0 / cell).join(wanted, (F.col("label") == F.col("_l")) & (width == F.col("_w")))
+    rolled = nodes.withColumn("_dice", dice).where(F.col("_dice") < 1.0 / cell)
+    drawn = rolled.join(wanted, (F.col("label") == F.col("_l")) & (width == F.col("_w")))
     out: dict[tuple[str, int], list] = {}
-    for r in drawn.select("label", "v").limit(4 * max_pivots).collect():
+    # About max_pivots rows; which of them are pivots only decides how many rows travel, not what is found.
+    for r in drawn.orderBy("_dice", "node").select("label", "v").limit(2 * max_pivots).collect():
         out.setdefault((r["label"], len(r["v"])), []).append(r["v"])
     return {k: unit(np.array(v)) for k, v in out.items()}, cell
 
@@ -145,54 +149,95 @@ def _placed(homes: DataFrame, pivots: dict, radii: dict, r: float) -> DataFrame:
 
 
 def _tiled(placed: DataFrame, tile: int) -> DataFrame:
-    """Adds ``part`` and ``tile``: parts of a cell meet two by two, so a task never holds more than two parts."""
+    """Adds ``part`` and ``tile``: home parts of a cell meet two by two, and each visiting part meets the home parts.
+
+    A task never holds more than two parts. Visitors do not meet each other here: they do at one's home.
+    """
     cell = ["label", "width", "cell"]
-    parts = F.ceil(F.count("*") / F.lit(tile)).cast("int").alias("parts")
-    rows = placed.join(placed.groupBy(*cell).agg(parts), cell)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    size = lambda rows: F.ceil(F.count(rows) / F.lit(tile)).cast("int")
+    sizes = placed.groupBy(*cell).agg(size(F.expr("if(home, 1, null)")).alias("homes"), size(F.expr("if(home, null, 1)")).alias("visits"))
+    rows = placed.join(sizes, cell)
+    inner = F.pmod(F.xxhash64("node"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("visits")))
+    rows = rows.withColumn("part", (inner + F.when(F.col("home"), 0).otherwise(F.col("homes"))).cast("int"))
+    parts = F.col("homes") + F.col("visits")
     meets = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda o: F.least(F.col("part"), o) * F.col("parts") + F.greatest(F.col("part"), o),
+        F.sequence(F.lit(0), F.when(F.col("home"), parts).otherwise(F.col("homes")) - 1),
+        lambda o: (F.least(F.col("part"), o).cast("long") * parts + F.greatest(F.col("part"), o)),
     )
-    return rows.select(*cell, F.explode(meets).alias("tile"), "part", "home", "node", "n", "v")
+    return rows.select(*cell, F.explode(meets).alias("tile"), "part", "node", "n", "v")
 
 
 def _meet(tiles: DataFrame, least_cosine: float) -> DataFrame:
-    """(node, links, other): links of a node with rows of other vectors, or a link of the forest (links null)."""
+    """(node, links, other, pairs): links of a node with rows of other vectors, or a link of the forest (links null).
+
+    ``pairs`` counts the cosines that were computed for the node's row.
+    """
 
     def join(table: pa.Table) -> pa.Table:
         part = table.column("part").to_numpy()
-        home = table.column("home").to_numpy(zero_copy_only=False).astype(bool)
         nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
         width = table.column("width")[0].as_py()
         x = np.frombuffer(b"".join(table.column("v").to_pylist()), "<f8").reshape(-1, width)
         groups, links = np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
+        pairs = np.zeros(len(nodes), np.int64)
         a, b = [], []
-        step = max(1, (1 << 22) // max(1, len(nodes)))
         cross = part.min() != part.max()
-        for at in range(0, len(nodes), step):
-            rows = np.arange(at, min(at + step, len(nodes)))
-            near = x[rows] @ x.T >= least_cosine
-            near &= rows[:, None] < np.arange(len(nodes))
-            near &= home[rows][:, None] | home  # two visitors meet at one's home
-            if cross:
-                near &= part[rows][:, None] != part
-            links[rows] += near @ n
-            links += n[rows] @ near
+        left, right = np.flatnonzero(part == part.min()), np.flatnonzero(part == part.max())
+        step = max(1, min(256, (1 << 20) // len(right)))
+        for at in range(0, len(left), step):
+            rows = left[at : at + step]
+            cols = right if cross else right[at:]
+            near = x[rows] @ x[cols].T >= least_cosine
+            if not cross:
+                near &= np.arange(len(rows))[:, None] < np.arange(len(cols))
+            pairs[rows] = len(cols)
+            links[rows] += near @ n[cols]
+            links[cols] += n[rows] @ near
             for k in np.flatnonzero(near.any(axis=1)):
-                for j in merge(groups, int(rows[k]), np.flatnonzero(near[k])):
+                for j in merge(groups, int(rows[k]), cols[near[k]]):
                     a.append(nodes[rows[k]])
                     b.append(nodes[j])
-        some = np.flatnonzero(links)
+        some = np.flatnonzero((links > 0) | (pairs > 0))
         return pa.table(
             {
                 "node": pa.array(np.concatenate((nodes[some], a)).astype(np.int64)),
                 "links": pa.array([*links[some].tolist(), *[None] * len(a)], pa.int64()),
                 "other": pa.array([*[None] * len(some), *b], pa.int64()),
+                "pairs": pa.array([*pairs[some].tolist(), *[0] * len(a)], pa.int64()),
             }
         )
 
-    return tiles.groupBy("label", "width", "cell", "tile").applyInArrow(join, "node long, links long, other long")
+    return tiles.groupBy("label", "width", "cell", "tile").applyInArrow(join, "node long, links long, other long, pairs long")
+
+
+def placed_vectors(vectors: DataFrame, r: float, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS) -> tuple[DataFrame, DataFrame]:
+    """The different vectors, and their places in the cells: (label, width, cell, home, node, n, v)."""
+    nodes = cut(_nodes(vectors))
+    pivots, _ = _pivots(nodes, cell_rows, max_pivots)
+    homes = cut(_homes(nodes, pivots))
+    width = (F.octet_length("v") / 8).cast("int").alias("width")
+    # A row per pivot at most.
+    inner = homes.where(F.col("label").isin(sorted({k[0] for k in pivots}))) if pivots else homes.limit(0)
+    radii = {(x["label"], x["width"], x["cell"]): x["d"] for x in inner.groupBy("label", width, "cell").agg(F.max("d").alias("d")).collect()}
+    return nodes, cut(_placed(homes, pivots, radii, r))
+
+
+def work(vectors: DataFrame, least_cosine: float = 0.93, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS, tile: int = TILE) -> DataFrame:
+    """(vectors, copies, computed, all_pairs), one row: how far the cells save work on these vectors."""
+    nodes, placed = placed_vectors(vectors, math.sqrt(max(0.0, 2 - 2 * least_cosine)), cell_rows, max_pivots)
+    each = nodes.groupBy("label", F.size("v")).agg(F.count("*").alias("k"))
+    pairs = each.agg(F.coalesce(F.sum("k"), F.lit(0)).alias("vectors"), F.coalesce(F.sum(F.expr("k * (k + 1) div 2")), F.lit(0)).alias("all_pairs"))
+    copies = placed.agg(F.count("*").alias("copies"))
+    computed = _meet(_tiled(placed, tile), least_cosine).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("computed"))
+    return spread_one(pairs, copies, computed)
+
+
+def spread_one(*ones: DataFrame) -> DataFrame:
+    """One row of the columns of several frames of one row."""
+    out = ones[0].withColumn("_one", F.lit(1))
+    for more in ones[1:]:
+        out = out.join(more.withColumn("_one", F.lit(1)), "_one")
+    return out.drop("_one")
 
 
 def near_vectors(
@@ -212,16 +257,10 @@ def near_vectors(
     """
     r = math.sqrt(max(0.0, 2 - 2 * least_cosine))
     ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), "embedding")
-    nodes = cut(_nodes(ids))
-    pivots, _ = _pivots(nodes, cell_rows, max_pivots)
-    homes = cut(_homes(nodes, pivots))
-    width = (F.octet_length("v") / 8).cast("int").alias("width")
-    # A row per pivot at most.
-    inner = homes.where(F.col("label").isin(sorted({k[0] for k in pivots}))) if pivots else homes.limit(0)
-    radii = {(x["label"], x["width"], x["cell"]): x["d"] for x in inner.groupBy("label", width, "cell").agg(F.max("d").alias("d")).collect()}
-    tiles = _tiled(cut(_placed(homes, pivots, radii, r)), tile)
+    nodes, placed = placed_vectors(ids, r, cell_rows, max_pivots)
+    tiles = _tiled(placed, tile)
     met = cut(_meet(tiles, least_cosine))
-    links = met.where("links is not null").groupBy("node").agg(F.sum("links").alias("links"))
+    links = met.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(met.where("other is not null"), "node", "other")
     found = nodes.select("label", "v", "node", "n").join(links, "node", "left")
     found = found.join(groups, "node", "left").select(
