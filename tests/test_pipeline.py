@@ -150,3 +150,43 @@ def test_files_that_lack_a_column_count_as_missing(store, spark):
     assert "coords" in store.missing(["coords"])
     store.write("coords", spark.createDataFrame([(1, 2.0, 3.0, "pca")], "id long, x double, y double, method string"))
     assert store.missing(["coords"]) == []
+
+
+def test_a_write_that_breaks_off_leaves_the_former_stage(store, spark):
+    from pyspark.sql import functions as F
+
+    two = "id long, text string"
+    store.write("texts", spark.createDataFrame([(1, "a")], two), settings={"n": 1})
+    before, stamp = store.read("texts"), store.stamp("texts")
+    for mode in ("overwrite", "append"):
+        broken = spark.range(100, numPartitions=4).select("id", F.expr("if(id = 99, raise_error('lost'), 'x')").alias("text"))
+        with pytest.raises(Exception, match="lost"):
+            store.write("texts", broken, mode=mode, settings={"n": 2})
+        assert store.stamp("texts") == stamp and store.about("texts")["settings"] == {"n": 1}
+        assert [r.text for r in store.read("texts").collect()] == ["a"] and store.missing(["texts"]) == []
+    store.write("texts", spark.createDataFrame([(2, "b")], two), mode="append")
+    assert sorted(r.id for r in store.read("texts").collect()) == [1, 2]
+    # A stage can be made from itself, and a reader of the table before keeps it.
+    store.write("texts", store.read("texts").where("id = 2"))
+    assert [r.id for r in store.read("texts").collect()] == [2] and before.count() == 1
+    store.write("texts", store.read("texts"))
+    files = spark._jvm.java.io.File(store.path("texts")).list()
+    assert sum(f.startswith("part-") for f in files) == 2
+
+
+def test_nothing_is_left_of_intermediates(spark, store, tmp_path):
+    from themewell.session import cut, ensure_checkpoint_dir, intermediates
+
+    ensure_checkpoint_dir(spark)
+    folder = spark._jvm.java.io.File(spark._jvm.java.net.URI(spark.sparkContext.getCheckpointDir()).getPath())
+    before = set(folder.list() or [])
+    pipeline.load(store, raw_of(spark, 40))
+    pipeline.embed(store)
+    pipeline.discover(store, k=2, min_cluster_size=5, min_samples=2)
+    pipeline.validate(store)
+    pipeline.place(store)
+    with pytest.raises(ZeroDivisionError), intermediates(spark):
+        cut(spark.range(3))
+        1 / 0
+    assert set(folder.list() or []) == before
+    assert store.read("assigned").count() == 80 and store.read("metrics").count() > 4

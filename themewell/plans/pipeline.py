@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +13,24 @@ from themewell.operators import agreement, density, kmeans, labels, project, rep
 from themewell.operators.clean import clean_text, dedupe_first, split_heldout
 from themewell.operators.embed import HASH_MODEL, embed_cached, embed_hash
 from themewell.operators.ids import seeded_sample
+from themewell.session import intermediates
 from themewell.sources.stages import REPORT_STAGES, StageStore, write_csv
 
 TARGETS = ("category", "intent")
 
 
+def _step(make):
+    """A step whose results are all stored when it ends: what it wrote on the way is deleted then."""
+
+    @wraps(make)
+    def run(store: StageStore, *args, **options):
+        with intermediates(store.spark):
+            return make(store, *args, **options)
+
+    return run
+
+
+@_step
 def load(
     store: StageStore, read_raw: Callable[[], DataFrame], sample_size: int | None = None, seed: int = 42, force: bool = False
 ) -> None:
@@ -34,6 +47,7 @@ def load(
     store.once("labels", heldout, force, inputs=["raw", "texts"])
 
 
+@_step
 def embed(
     store: StageStore, encode: Callable[[DataFrame], DataFrame] = embed_hash, model: str = HASH_MODEL, force: bool = False
 ) -> None:
@@ -42,6 +56,7 @@ def embed(
     store.once("vectors", lambda: embed_cached(store.read("texts"), cache, encode, model), force, {"model": model}, ["texts"])
 
 
+@_step
 def discover(
     store: StageStore,
     k: int | None = None,
@@ -63,6 +78,7 @@ def _of(assigned: DataFrame, method: str) -> DataFrame:
     return assigned.where(F.col("method") == method)
 
 
+@_step
 def validate(store: StageStore, methods: Sequence[str] = ("kmeans", "hdbscan")) -> DataFrame:
     """``method, metric, value``: counts, silhouette, and agreement with the held-out labels."""
     vectors, assigned = store.read("vectors"), store.read("assigned")
@@ -113,17 +129,20 @@ def write_summary(store: StageStore, path: str) -> None:
     row.coalesce(1).write.mode("overwrite").text(path)
 
 
+@_step
 def tune(store: StageStore, csv_path: str, settings: Sequence[sweep.Setting] = sweep.DEFAULT_SETTINGS) -> DataFrame:
     """The settings sweep, ranked by inside measures and written as CSV."""
     results = sweep.rank_settings(sweep.sweep(store.read("vectors"), store.read("labels"), "category", settings).results)
     write_csv(results.coalesce(1), csv_path)  # one row per setting
-    return results
+    return store.spark.createDataFrame(results.collect(), results.schema)
 
 
+@_step
 def place(store: StageStore) -> DataFrame:
     return store.write("coords", project.project_2d(store.read("vectors")), inputs=["vectors"])
 
 
+@_step
 def label(
     store: StageStore,
     make_labeler: Callable[[], Callable[[str], str]] | None = None,

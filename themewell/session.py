@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +41,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+_folder: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """What ``cut`` writes inside goes to a folder of its own, which is deleted at the end, also after an error.
+
+    Frames that were built inside are not to be read after it: store the results first.
+    """
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    before = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and go on from the files.
 
@@ -47,6 +70,6 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = f"{_folder.get() or spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that readers see as it was or as it is now, never in part: written aside, then renamed over."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    target, aside = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    out = aside.getFileSystem(conf).create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    how = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename")
+    over = spark.sparkContext._gateway.new_array(how, 1)
+    over[0] = how.OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), conf).rename(aside, target, over)
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], what: str = "table") -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
