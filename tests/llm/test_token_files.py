@@ -20,8 +20,8 @@ def test_words_give_the_ids_of_the_whole(path, spaced):
     signs = list("aBé'.\n\t s1tl\x1c漢,!ſKİΣς́  \0") + ["'s", " 'll", "  ", "<|endoftext|>", "1٣", "\r\n"]
     texts = ["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(3000)] + [t for _, t, *_ in ODD]
     encoder, whole = tokens.WordEncoder(path, spaced), reference(path)
-    for text in texts:
-        assert encoder.encode(text).tolist() == whole(text), repr(text)
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert encoder.encode(text).tolist() == ids.tolist() == whole(text), repr(text)
 
 
 def test_memory_forgets_and_stays_right(monkeypatch):
@@ -32,6 +32,27 @@ def test_memory_forgets_and_stays_right(monkeypatch):
     assert len(encoder.words) <= 5
 
 
+def test_table_forgets_and_stays_right(monkeypatch):
+    for name, value in (("LEARNED", 40), ("STORED_IDS", 100), ("SLOTS", 128), ("BLOCK_WORDS", 16), ("CHUNK_SIGNS", 300)):
+        monkeypatch.setattr(tokens, name, value)
+    encoder, whole = tokens.WordEncoder(tokens.byte_vocabulary(), True), reference(tokens.byte_vocabulary())
+    rng = np.random.default_rng(3)
+    words = [*"abcdefgh", "слово", "naïve", "a-very-long-word-of-signs,", "x" * 16, "x" * 17, "x" * 70, "é" * 8, "1984", "a\nb", "a\n\nb"]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 60))) for _ in range(300)]
+    for _ in range(2):
+        assert all(i.tolist() == whole(t) for t, i in zip(texts, encoder.encode_all(texts), strict=True))
+    assert encoder.table.entries <= 40 + 16
+
+
+def test_words_of_a_text_are_its_own():
+    """White space and signs at the ends of neighbours in a chunk do not meet."""
+    texts = ["\n", "a\n", "\na", "\t", ".", "'s", "a'", "\0", "", None, "a\n\n", "b"]
+    for path, spaced in ((tokens.byte_vocabulary(), True), (tokens.word_vocabulary(), False)):
+        encoder, whole = tokens.WordEncoder(path, spaced), reference(path)
+        assert [i.tolist() for i in encoder.encode_all(texts)] == [whole(t) for t in texts]
+    assert list(encoder.encode_all([])) == []
+
+
 @pytest.mark.parametrize("values", [[], [0], [255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1, 0], list(range(1000))])
 def test_code_round_trip(values):
     ranks = np.array(values, "<u4")
@@ -92,5 +113,7 @@ def test_encoder_equals_the_library_on_odd_strings():
         library = Tokenizer.from_file(path)
         for plain in (False, True):
             library.encode_special_tokens = plain
-            encode = tokens.WordEncoder(path, spaced, plain).encode
-            assert all(encode(t).tolist() == library.encode(t, add_special_tokens=False).ids for t in texts)
+            encoder = tokens.WordEncoder(path, spaced, plain)
+            wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+            assert [encoder.encode(t).tolist() for t in texts] == wanted
+            assert [i.tolist() for i in encoder.encode_all(texts)] == wanted

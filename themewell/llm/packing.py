@@ -158,13 +158,14 @@ def pack(
             return batch_of(schema, cols)
 
         def run(batches: Iterator[pa.RecordBatch]):
-            encode = tokens.encoder(path, spaced).encode
+            encode = tokens.encoder(path, spaced).encode_all
             end = np.array([end_id], "<u4")
             packer, kept, windows, held = Packer(tiers), {}, [], 0
             number, doc = partition_id() << 40, 0
             for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                    ids = np.concatenate((encode(text.as_py()), end))
+                texts = (text.as_py() for text in batch.column("text"))
+                for doc_id, found in zip(batch.column("doc_id").to_pylist(), encode(texts), strict=True):
+                    ids = np.concatenate((found, end))
                     kept[doc] = (doc_id, ids)
                     windows += packer.add(doc, len(ids))
                     held += len(ids)

@@ -124,7 +124,7 @@ def _tokenized(docs: DataFrame, path: str, spaced: bool, end_id: int, block_ids:
             return row(shard, block=block, nulls=nulls.tobytes(), doc_ids=known.tobytes(), counts=counts.tobytes(), ids=ids.tobytes())
 
         def run(batches: Iterator[pa.RecordBatch]):
-            encode = tokens.encoder(path, spaced).encode
+            encode = tokens.encoder(path, spaced).encode_all
             end = np.array([end_id], "<u4")
             seen = np.zeros(1 << 16, np.int64)
             shard, block, doc_ids, parts, held = partition_id(), 0, [], [], 0
@@ -139,10 +139,11 @@ def _tokenized(docs: DataFrame, path: str, spaced: bool, end_id: int, block_ids:
                 return out
 
             for batch in batches:
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                    parts.append(np.concatenate((encode(text.as_py()), end)))
+                texts = (text.as_py() for text in batch.column("text"))
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts), strict=True):
+                    parts.append(np.concatenate((ids, end)))
                     doc_ids.append(doc_id)
-                    held += len(parts[-1])
+                    held += len(ids) + 1
                     if held >= block_ids:
                         yield close()
             if parts:

@@ -5,21 +5,33 @@ Latin letters are cut here by the same pattern, and each piece is merged once pe
 worker by the library's model; pieces met before come out of a dictionary. Other
 texts are cut only where neither vocabulary merges, at single spaces between
 visible characters, and the library encodes what is new there.
+
+Many texts at a time are cut at these spaces with numpy, and all their words are
+looked up in one table at once; only words that are new there, or longer than its
+keys, are handled one by one.
 """
 
 from __future__ import annotations
 
 import array
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-REMEMBERED = 300_000  # words in each of two generations that a worker keeps, about 120 MB in all
+REMEMBERED = 100_000  # pieces in each of two generations that a worker keeps, about 40 MB in all
 LONGEST = 64  # longer ones are not kept
 END_ID = 2
 
+KEY_BYTES = 16  # words up to this length are keys of the table
+LEARNED = 900_000  # words of the table, and as much as a block more
+SLOTS = 1 << 21  # of the table: more than twice as many, 64 MB
+BLOCK_WORDS = 1 << 16  # looked up at once
+STORED_IDS = 1 << 23  # beyond this many the table forgets, 32 MB
+CHUNK_SIGNS = 1 << 21  # texts are put together until they have so many characters
+
 #: Cut where a letter meets a sign other than an apostrophe: no pattern spans this.
 _INNER = re.compile(r"(?<=[A-Za-zß-öø-ÿ])(?=[!-&(-/:-@\[-`{-~\n])")
 _WORDS = re.compile(r"\s*\S+(?:(?! \S)\s+\S*)*")
@@ -66,6 +78,155 @@ class _Memory(dict):
         return value
 
 
+class _Table:
+    """Ids of words by their bytes, for many words at once.
+
+    Up to 16 bytes a word is told exactly by its length, its first and its next 8
+    bytes: these are the keys of an open-addressing table. Longer words are in a
+    dictionary. When it is full, all is forgotten.
+    """
+
+    _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], "<u8")
+    _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], "<u8")
+
+    def __init__(self, make) -> None:
+        self.make = make
+        self.clear()
+
+    def clear(self) -> None:
+        self.rows = np.zeros((SLOTS, 4), "<u8")  # first bytes, next bytes, length (0: free), entry
+        self.longer: dict[bytes, int] = {}
+        self.first, self.count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.store = np.zeros(1 << 14, "<u4")
+        self.entries, self.stored = 0, 0
+
+    def ids(self, data: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in turn, how many each has); 16 bytes that belong to no word end ``data``."""
+        if self.entries > LEARNED or self.stored > STORED_IDS:
+            self.clear()
+        sizes = ends - starts
+        entry = np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(sizes <= KEY_BYTES)
+        at, n = starts[short], sizes[short]
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        keys = (eight[at] & self._MASKS[np.minimum(n, 8)], eight[at + 8] & self._MASKS[np.maximum(n, 8) - 8], n.astype("<u8"))
+        slot = self._slots(keys)
+        self._find(keys, slot, short, entry)
+        missing = np.flatnonzero(entry < 0)
+        if len(missing):
+            place = np.full(len(starts), -1)
+            place[short] = np.arange(len(short))
+            self._learn(data, starts[missing], ends[missing], missing, place[missing], keys, slot, entry)
+        counts = self.count[entry]
+        before = np.cumsum(counts) - counts
+        total = int(counts.sum())
+        return self.store[np.repeat(self.first[entry] - before, counts) + np.arange(total)], counts
+
+    def _slots(self, keys) -> np.ndarray:
+        a, b, c = self._FACTORS
+        mixed = keys[0] * a ^ (keys[1] ^ keys[2]) * b
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * c
+        return ((mixed >> np.uint64(32)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+    def _find(self, keys, slot: np.ndarray, where: np.ndarray, entry: np.ndarray) -> None:
+        """Fills in the entries of known words; ``slot`` becomes the free one where a new word goes."""
+        left = np.arange(len(slot))
+        while len(left):
+            rows = self.rows[slot[left]]
+            same = (rows[:, 0] == keys[0][left]) & (rows[:, 1] == keys[1][left]) & (rows[:, 2] == keys[2][left])
+            entry[where[left[same]]] = rows[same, 3].astype(np.int64)
+            left = left[~same & (rows[:, 2] != 0)]
+            slot[left] = (slot[left] + 1) & (SLOTS - 1)
+
+    def _learn(self, data, starts, ends, missing, place, keys, slot, entry) -> None:
+        """Makes the ids of words that are not in the table, and puts the short ones there."""
+        new: dict[bytes, int] = {}
+        made, found, at = [], [], []
+        for p, start, end in zip(place.tolist(), starts.tolist(), ends.tolist(), strict=True):
+            word = data[start:end]
+            known = new if p >= 0 else self.longer
+            number = known.get(word)
+            if number is None:
+                number = self.entries + len(made)
+                made.append(self.make(word.decode()))
+                if end - start <= LONGEST:
+                    known[word] = number
+                if p >= 0:
+                    at.append(p)
+            found.append(number)
+        entry[missing] = found
+        if not made:
+            return
+        counts = np.array([len(m) // 4 for m in made])
+        ids = np.frombuffer(b"".join(made), "<u4")
+        firsts = self.stored + np.cumsum(counts) - counts
+        self.first = _set(self.first, self.entries, firsts)
+        self.count = _set(self.count, self.entries, counts)
+        self.store = _set(self.store, self.stored, ids)
+        self.entries, self.stored = self.entries + len(made), self.stored + len(ids)
+        at = np.array(at, np.int64)
+        self._put([k[at] for k in keys], slot[at], np.array(list(new.values()), "<u8"))
+
+    def _put(self, keys, slot: np.ndarray, entry: np.ndarray) -> None:
+        """Puts different new words in, each from the free slot that its search ended at."""
+        left = np.arange(len(slot))
+        while len(left):
+            free = left[self.rows[slot[left], 2] == 0]
+            _, one = np.unique(slot[free], return_index=True)
+            free = free[one]
+            self.rows[slot[free]] = np.stack([*(k[free] for k in keys), entry[free]], axis=1)
+            waits = np.ones(len(slot), bool)
+            waits[free] = False
+            left = left[waits[left]]
+            slot[left] = (slot[left] + 1) & (SLOTS - 1)
+
+
+def _set(array: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """``array`` with ``values`` from ``at`` on, twice as long when it is full."""
+    if at + len(values) > len(array):
+        longer = np.zeros(2 * (at + len(values)), array.dtype)
+        longer[:at] = array[:at]
+        array = longer
+    array[at : at + len(values)] = values
+    return array
+
+
+#: Bytes that part words: all ASCII white space.
+_PARTS = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", np.uint8))
+
+# Kinds of ASCII bytes, no pattern spans two of them. White space, apostrophes and other bytes have none.
+_LETTERS, _DIGITS, _SIGNS, _FEEDS = 1, 2, 3, 4
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[33:127] = _SIGNS
+_KINDS[48:58] = _DIGITS
+_KINDS[65:91] = _KINDS[97:123] = _LETTERS
+_KINDS[39] = 0
+#: First of two bytes that are a letter: U+00C0 to U+024F, U+0400 to U+047F; but two signs, and a letter that ends in a mark in lower case.
+_LEADS = np.isin(np.arange(256), [*range(0xC3, 0xCA), 0xD0, 0xD1])
+_NO_LETTERS = np.frombuffer("×÷İ".encode(), ">u2")
+
+
+def _kind_changes(signs: np.ndarray, spaced: bool) -> np.ndarray:
+    """Places where a piece ends for the patterns, as its neighbours are of different kinds.
+
+    Without ``spaced`` each digit is a piece; with it a single line feed between two kinds is one.
+    """
+    kind = _KINDS[signs]
+    lead = np.flatnonzero(_LEADS[signs])
+    lead = lead[~np.isin(signs[lead].astype(np.uint16) << 8 | signs[lead + 1], _NO_LETTERS)]
+    kind[lead] = kind[lead + 1] = _LETTERS
+    if spaced:
+        feeds = np.flatnonzero(signs == 10)
+        kind[feeds[(kind[feeds - 1] != 0) & (kind[feeds + 1] != 0)]] = _FEEDS
+    here, before = kind[1:], kind[:-1]
+    change = here != before
+    if not spaced:
+        change |= here == _DIGITS
+    change &= here != 0
+    change &= before != 0
+    return np.flatnonzero(change) + 1
+
+
 class WordEncoder:
     """Encodes texts with a vocabulary file; ``spaced`` tells if a word keeps the space before it.
 
@@ -82,6 +243,66 @@ class WordEncoder:
         self.pattern = _SPACED_PIECES if spaced else _BARE_PIECES
         self.pieces = _Memory(self._piece)
         self.words = _Memory(self._word)
+        self.table = _Table(self._segment)
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """``encode`` of each text in turn, many at a time."""
+        chunk: list[str | np.ndarray] = []
+        held = 0
+        for text in texts:
+            whole = not text or self.specials and self.specials.search(text) or self.spaced and self._odd(text)
+            chunk.append(self.encode(text) if whole else text)
+            held += len(chunk[-1])
+            if held > CHUNK_SIGNS:
+                yield from self._encode_chunk(chunk)
+                chunk, held = [], 0
+        yield from self._encode_chunk(chunk)
+
+    def _encode_chunk(self, chunk: list[str | np.ndarray]) -> Iterator[np.ndarray]:
+        """Ids of texts that can be cut at white space (before a space, where words keep it), and others as they are."""
+        parts = [x.encode() for x in chunk if isinstance(x, str)]
+        if not parts:
+            yield from chunk
+            return
+        # A tab ends each text: it is white space, of no kind, and part of no word.
+        data = b"\t".join(parts) + b"\t" + bytes(KEY_BYTES)
+        signs = np.frombuffer(data, np.uint8)[:-KEY_BYTES]
+        sizes = np.array([len(p) + 1 for p in parts])
+        heads = np.cumsum(sizes) - sizes
+        if self.spaced:
+            starts = np.sort(np.concatenate((heads, np.flatnonzero(signs == 32), _kind_changes(signs, True))))
+            ends = np.append(starts[1:], len(signs))
+            ends[np.searchsorted(starts, heads[1:]) - 1] -= 1  # without the tab
+            ends[-1] -= 1
+        else:
+            inside = np.flatnonzero(np.diff(~_PARTS[signs], prepend=False))
+            changes = _kind_changes(signs, False)
+            starts, ends = (np.sort(np.concatenate((x, changes))) for x in (inside[::2], inside[1::2]))
+        ids, counts = [], []
+        for low in range(0, len(starts), BLOCK_WORDS):
+            part = slice(low, low + BLOCK_WORDS)
+            found, n = self.table.ids(data, starts[part], ends[part])
+            ids.append(found)
+            counts.append(n)
+        flat = np.concatenate(ids) if ids else np.empty(0, "<u4")
+        total = np.concatenate(([0], np.cumsum(np.concatenate(counts)))) if counts else np.zeros(1, np.int64)
+        bounds = iter(total[np.searchsorted(starts, np.append(heads, len(signs)))].tolist())
+        low = next(bounds)
+        for x in chunk:
+            if isinstance(x, str):
+                high = next(bounds)
+                x, low = flat[low:high], high
+            yield x
+
+    def _segment(self, word: str) -> bytes:
+        """Ids of what stands between two cuts."""
+        written = word if self.spaced else word.lower()
+        if _BEYOND.search(written) is None:
+            pieces = self.pattern.findall(written)
+            if len(pieces) == 1:  # kept by the table
+                return self._piece(pieces[0])
+            return b"".join(map(self.pieces.__getitem__, pieces))
+        return self._word(word)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids as unsigned 32-bit integers; none for a null or empty text."""
