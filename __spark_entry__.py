@@ -20,6 +20,7 @@ from themewell.operators import (  # noqa: E402
     ids,
     kmeans,
     labels,
+    layout,
     neighbors,
     project,
     reach_tree,
@@ -301,6 +302,12 @@ def project_2d(spark, sf_dir):
     return coords.select("id", r4("x"), r4("y"), "method")
 
 
+def spectral_map(spark, sf_dir):
+    coords = layout.spectral_map(_doc_vectors(_docs(spark, sf_dir))).coords
+    r4 = lambda name: (F.round(name, 4) + F.lit(0.0)).alias(name)
+    return coords.select("id", r4("x"), r4("y"), "method")
+
+
 # ---- labelling and reporting ------------------------------------------------
 
 
@@ -404,6 +411,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hdbscan_labels": hdbscan_labels,
         "hdbscan_sweep": hdbscan_sweep,
         "project_2d": project_2d,
+        "spectral_map": spectral_map,
         "keyword_labels": keyword_labels,
         "label_requests": label_requests,
         "cluster_catalogue": cluster_catalogue,

@@ -27,6 +27,7 @@ def main() -> None:
     parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--force", action="store_true")
     parser.add_argument("--k", type=int)
+    parser.add_argument("--neighbors", type=int, help="lay the map out by so many neighbours (place)")
     parser.add_argument("--out", help="folder for CSV files (tune, report)")
     args = parser.parse_args()
     spark = get_spark()
@@ -50,7 +51,7 @@ def main() -> None:
     elif args.step == "tune":
         pipeline.tune(store, f"{args.out or store.root}/sweep_{store.run_id}").show(truncate=False)
     elif args.step == "place":
-        pipeline.place(store)
+        pipeline.place(store, args.neighbors)
     elif args.step == "label":
         pipeline.label(store)
     else:

@@ -9,7 +9,7 @@ from functools import reduce, wraps
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themewell.operators import agreement, density, kmeans, labels, project, report, represent, silhouette, sweep
+from themewell.operators import agreement, density, kmeans, labels, layout, project, report, represent, silhouette, sweep
 from themewell.operators.clean import clean_text, dedupe_first, split_heldout
 from themewell.operators.embed import HASH_MODEL, embed_cached, embed_hash
 from themewell.operators.ids import seeded_sample
@@ -138,8 +138,14 @@ def tune(store: StageStore, csv_path: str, settings: Sequence[sweep.Setting] = s
 
 
 @_step
-def place(store: StageStore) -> DataFrame:
-    return store.write("coords", project.project_2d(store.read("vectors")), inputs=["vectors"])
+def place(store: StageStore, n_neighbors: int | None = None) -> DataFrame:
+    """Coordinates by principal components, or with ``n_neighbors`` by the layout that keeps so many neighbours together."""
+    vectors = store.read("vectors")
+    if n_neighbors is None:
+        return store.write("coords", project.project_2d(vectors), inputs=["vectors"])
+    found = layout.spectral_map(vectors, n_neighbors)
+    facts = {"n_neighbors": n_neighbors, "passes": found.passes, "converged": found.converged}
+    return store.write("coords", found.coords, settings=facts, inputs=["vectors"])
 
 
 @_step
